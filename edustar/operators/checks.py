@@ -2,7 +2,7 @@
 
 Each kind has a ``*_failures`` function returning the failing rows (for inspection)
 and a summary function returning one row
-``(model, column, check, severity, failures, status)``.
+``(model, column_name, check_name, severity, failures, status)``.
 
 Cost at scale: all not-null checks of a table share one aggregate pass; a uniqueness
 check is one partial+final aggregation on its key (a hot key is pre-combined map-side);
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from edustar.schema import ATTENDANCE_PHASES, SCHOOL_PHASES
 
-SUMMARY_COLUMNS = ("model", "column", "check", "severity", "failures", "status")
+SUMMARY_COLUMNS = ("model", "column_name", "check_name", "severity", "failures", "status")
 
 
 def _status(severity: str):
@@ -29,10 +29,10 @@ def _status(severity: str):
 
 
 def _summary(counted: DataFrame, model: str, check: str, severity: str, column=None) -> DataFrame:
-    """``counted`` has ``failures`` (and ``column`` when many columns share a pass)."""
-    col = F.col("column") if column is None else F.lit(column)
+    """``counted`` has ``failures`` (and ``column_name`` when many columns share a pass)."""
+    col = F.col("column_name") if column is None else F.lit(column)
     return counted.select(
-        F.lit(model).alias("model"), col.alias("column"), F.lit(check).alias("check"),
+        F.lit(model).alias("model"), col.alias("column_name"), F.lit(check).alias("check_name"),
         F.lit(severity).alias("severity"), F.col("failures").cast("bigint").alias("failures"),
         _status(severity).alias("status"),
     )
@@ -76,7 +76,7 @@ def dq_unique(df: DataFrame, model: str, column: str, severity: str = "error") -
 def dq_not_null(df: DataFrame, model: str, columns: Sequence[str], severity: str = "error") -> DataFrame:
     """All columns of one table in one aggregate pass, then one row per column."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    long = counts.unpivot([], list(columns), "column", "failures")
+    long = counts.unpivot([], list(columns), "column_name", "failures")
     return _summary(long, model, "not_null", severity)
 
 

@@ -100,9 +100,9 @@ def land_raw(df: DataFrame, path: str, count: bool = True) -> int | None:
 
 
 def load_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
-    """Rows per landed table: ``(table, rows)``; Parquet answers counts from footers."""
+    """Rows per landed table: ``(table_name, n_rows)``; Parquet answers counts from footers."""
     parts = [
-        spark.read.parquet(path).groupBy().count().select(F.lit(name).alias("table"), F.col("count").alias("rows"))
+        spark.read.parquet(path).groupBy().count().select(F.lit(name).alias("table_name"), F.col("count").alias("n_rows"))
         for name, path in tables.items()
     ]
     out = parts[0]
