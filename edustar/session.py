@@ -20,6 +20,7 @@ def get_session(cpus: int | None = None, master: str | None = None, app: str = "
     b = b.master(master or f"local[{cpus}]")
     return (
         b.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

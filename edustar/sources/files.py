@@ -28,9 +28,17 @@ def sanitise_name(name: str) -> str:
 
 
 def strip_bom(name: str) -> str:
+    """Drop a leading byte-order mark (as decoded by UTF-8 or by Latin-1).
+
+    Under Latin-1 the BOM bytes sit in front of the opening quote, so the reader
+    keeps a quoted first header verbatim (``ï»¿"URN"``); unquote it here too.
+    """
     for bom in _BOMS:
         if name.startswith(bom):
-            return name[len(bom):]
+            rest = name[len(bom):]
+            if len(rest) >= 2 and rest[0] == rest[-1] == '"':
+                rest = rest[1:-1].replace('""', '"')
+            return rest
     return name
 
 
