@@ -223,6 +223,22 @@ def sql(body: str, extra_ctes: str = "") -> str:
     return PRELUDE + ("," + extra_ctes if extra_ctes else "") + "\n" + body
 
 
+def over_marts(body: str, extra_ctes: str = "") -> str:
+    """The same query over mart *tables* (no raw chain): the serving-side form."""
+    return "WITH" + SHARED + ("," + extra_ctes if extra_ctes else "") + "\n" + body
+
+
+def materialise_marts_sql() -> list[str]:
+    """Statements that land raw tables, define staging views and build mart tables in DuckDB."""
+    out = [f"CREATE OR REPLACE TABLE {t} AS WITH{RAW}\nSELECT * FROM {t}"
+           for t in ("raw_gias", "raw_attendance", "raw_ks4")]
+    out += [f"CREATE OR REPLACE VIEW {v} AS WITH{STAGING}\nSELECT * FROM {v}"
+            for v in ("stg_gias", "stg_attendance", "stg_ks4")]
+    out += [f"CREATE OR REPLACE TABLE {m} AS WITH{MARTS}\nSELECT * FROM {m}"
+            for m in ("dim_school", "fct_attendance_weekly", "fct_ks4_results")]
+    return out
+
+
 # -- data checks -----------------------------------------------------------------------
 
 def _status(fail_expr: str, severity: str) -> str:

@@ -42,6 +42,7 @@ class Warehouse:
         tag = "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir.strip("/"))[-60:]
         self.root = root or f"{storage_root(spark)}/edustar/{_RUN}/{tag}"
         self.built = False
+        self._frames: dict[str, DataFrame] = {}
 
     # -- paths ----------------------------------------------------------------
     def raw_path(self, name: str) -> str:
@@ -52,6 +53,7 @@ class Warehouse:
 
     # -- build ----------------------------------------------------------------
     def build(self) -> "Warehouse":
+        self._frames.clear()
         for name, fn in RAW_BUILDERS.items():
             land_raw(fn(self.spark, self.sf_dir), self.raw_path(name), count=False)
         for name, (stg_name, fn) in _marts.MART_BUILDERS.items():
@@ -60,15 +62,22 @@ class Warehouse:
         return self
 
     # -- readers --------------------------------------------------------------
+    def _read(self, path: str) -> DataFrame:
+        """One DataFrame per stored table: its file listing and footers are read once."""
+        df = self._frames.get(path)
+        if df is None:
+            df = self._frames[path] = self.spark.read.parquet(path)
+        return df
+
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.raw_path(name))
+        return self._read(self.raw_path(name))
 
     def staging(self, name: str) -> DataFrame:
         raw_name, fn = STAGING[name]
         return fn(self.raw(raw_name))
 
     def mart(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.mart_path(name))
+        return self._read(self.mart_path(name))
 
     @property
     def dim(self) -> DataFrame:

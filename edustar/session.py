@@ -25,6 +25,12 @@ def get_session(cpus: int | None = None, master: str | None = None, app: str = "
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast by *measured* size: the static planner only broadcasts inputs whose
+        # estimated (compressed-file) size is under 1 MB; AQE broadcasts a join side
+        # after its shuffle stage has run and measured under 32 MB; otherwise the join
+        # stays sort-merge. So no broadcast ever rests on a guess about big data.
+        .config("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 << 20))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("EDUSTAR_DRIVER_MEMORY", "8g"))
         .getOrCreate()
