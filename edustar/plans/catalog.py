@@ -23,7 +23,7 @@ from edustar.operators import staging as ST
 from edustar.operators import views as V
 from edustar.plans import oracle as O
 from edustar.plans.pipeline import warehouse
-from edustar.schema import REGISTER_COLUMNS, SCREEN_MESSAGES
+from edustar.schema import NULL_TOKENS, REGISTER_COLUMNS, SCREEN_MESSAGES
 from edustar.sources import files
 from edustar.sources.fixtures import read_table
 
@@ -80,7 +80,7 @@ def _schools(spark, sf_dir):
 
 # ===================================================================== 2.1 sources
 
-@register("src_register_csv", O.sql("SELECT * FROM raw_gias"))
+@register(["src_register_csv", "require_columns", "rename_map", "empty_to_null"], O.sql("SELECT * FROM raw_gias"))
 def q_src_register_csv(spark, sf_dir):
     """Landed register -> CSV (Latin-1, register headers) -> read back through the register reader."""
     wh = W(spark, sf_dir)
@@ -91,7 +91,7 @@ def q_src_register_csv(spark, sf_dir):
     return files.read_register_csv(spark, path)
 
 
-@register("src_ees_csv", O.sql("SELECT * FROM raw_attendance"))
+@register(["src_ees_csv", "abort_on_malformed"], O.sql("SELECT * FROM raw_attendance"))
 def q_src_ees_csv(spark, sf_dir):
     """Landed attendance -> CSV (UTF-8) -> read back through the statistics reader."""
     wh = W(spark, sf_dir)
@@ -100,6 +100,29 @@ def q_src_ees_csv(spark, sf_dir):
     return files.read_ees_csv(spark, path)
 
 
+@register("sanitise_headers", O.sql("SELECT * FROM raw_ks4"))
+def q_sanitise_headers(spark, sf_dir):
+    """Landed results -> CSV with display-style headers ('School Urn', ...) -> read back, headers sanitised."""
+    wh = W(spark, sf_dir)
+    path = f"{wh.root}/files/ks4_csv"
+    raw = wh.raw("raw_ks4")
+    files.write_csv(raw.select(*[F.col(c).alias(c.replace("_", " ").title()) for c in raw.columns]), path)
+    return files.read_ees_csv(spark, path)
+
+
+_RAW_ATT_COLS = ("time_period", "time_identifier", "geographic_level", "old_la_code", "new_la_code", "la_name",
+                 "school_type", "possible_sessions", "overall_absence_perc", "authorised_absence_perc",
+                 "unauthorised_absence_perc", "attendance_perc")
+
+
+@register("na_tokens_to_null", O.sql("SELECT " + ", ".join(
+    f"CASE WHEN {c} IN {O.in_list(NULL_TOKENS)} THEN NULL ELSE {c} END AS {c}" for c in _RAW_ATT_COLS)
+    + " FROM raw_attendance"))
+def q_na_tokens_to_null(spark, sf_dir):
+    """The reader's NULL-token rule over every landed attendance column (markers survive)."""
+    return files.na_tokens_to_null(W(spark, sf_dir).raw("raw_attendance"))
+
+
 @register(["land_raw", "raw_gias"], O.sql("SELECT * FROM raw_gias"))
 def q_raw_gias(spark, sf_dir):
     return W(spark, sf_dir).raw("raw_gias")
@@ -140,7 +163,7 @@ def q_mart_query(spark, sf_dir):
 
 # ===================================================================== 2.14 composites
 
-@register("stg_gias", O.sql("SELECT * FROM stg_gias"))
+@register(["stg_gias", "select_rename"], O.sql("SELECT * FROM stg_gias"))
 def q_stg_gias(spark, sf_dir):
     return W(spark, sf_dir).staging("stg_gias")
 

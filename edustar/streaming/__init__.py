@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The original pipeline is batch only: every load replaces its table in full and
+incremental models are a stated non-goal, so there is no watermark, window, state or
+late data to reproduce. This package is intentionally empty; an incremental fact
+would be built here (``readStream`` over landed files -> ``foreachBatch`` merge into
+the mart) if that future-work item is ever taken up.
+"""
