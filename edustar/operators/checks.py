@@ -144,9 +144,53 @@ def relationship_checks(t) -> DataFrame:
     ])
 
 
+_CHECK_PREFIX = {"uq": "unique", "nn": "not_null", "av": "accepted_values"}
+
+
+def table_checks(df: DataFrame, model: str, unique: str | None = None, not_null: Sequence[str] = (),
+                 accepted: dict | None = None, severity: str = "error") -> DataFrame:
+    """Every unique / not-null / accepted-values check of one table in a single pass.
+
+    With a uniqueness key, the not-null and accepted-values counters ride along in the
+    same per-key aggregation (partial map-side, one shuffle on the key, which the
+    uniqueness check needs anyway); a second tiny aggregation sums them. Without one,
+    it is a single global aggregate. Output: one summary row per check.
+    """
+    accepted = accepted or {}
+    counters = ([F.count_if(F.col(c).isNull()).alias(f"nn__{c}") for c in not_null]
+                + [F.count_if(~F.col(c).isin(list(v))).alias(f"av__{c}") for c, v in accepted.items()])
+    names = [f"nn__{c}" for c in not_null] + [f"av__{c}" for c in accepted]
+    if unique:
+        per_key = df.groupBy(unique).agg(F.count(F.lit(1)).alias("__n"), *counters)
+        totals = per_key.agg(
+            F.count_if(F.col(unique).isNotNull() & (F.col("__n") > 1)).alias(f"uq__{unique}"),
+            *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names])
+        names = [f"uq__{unique}"] + names
+    else:
+        totals = df.agg(*counters)
+    long = totals.unpivot([], names, "__key", "failures")
+    parts = F.split(F.col("__key"), "__", 2)
+    check = F.create_map(*[x for k, v in _CHECK_PREFIX.items() for x in (F.lit(k), F.lit(v))])[parts[0]]
+    return long.select(
+        F.lit(model).alias("model"), parts[1].alias("column_name"), check.alias("check_name"),
+        F.lit(severity).alias("severity"), F.col("failures").cast("bigint").alias("failures"),
+        _status(severity).alias("status"),
+    )
+
+
 def dq_summary(t) -> DataFrame:
-    """All 22 checks as one frame."""
-    return _union([unique_checks(t), not_null_checks(t), accepted_values_checks(t), relationship_checks(t)])
+    """All 22 checks as one frame: one pass per table, plus the two anti joins."""
+    return _union([
+        table_checks(t["stg_gias"], "stg_gias", "urn", ["urn", "la_code"], {"phase": SCHOOL_PHASES}),
+        table_checks(t["stg_attendance"], "stg_attendance", None, ["la_code", "academic_year"],
+                     {"phase": ATTENDANCE_PHASES}),
+        table_checks(t["stg_ks4"], "stg_ks4", "urn", ["urn", "academic_year"]),
+        table_checks(t["dim_school"], "dim_school", "urn", ["urn", "la_code", "is_secondary"]),
+        table_checks(t["fct_attendance_weekly"], "fct_attendance_weekly", "attendance_key",
+                     ["attendance_key", "la_code"]),
+        table_checks(t["fct_ks4_results"], "fct_ks4_results", "ks4_key", ["ks4_key", "urn"]),
+        relationship_checks(t),
+    ])
 
 
 class DataCheckError(RuntimeError):

@@ -74,12 +74,19 @@ def attendance_headline(view: DataFrame) -> DataFrame:
 
 
 def filter_options(enriched: DataFrame) -> DataFrame:
-    """Choices of the three filters as ``(kind, value)`` rows, each sorted distinct."""
-    regions = (enriched.where(F.col("region") != UNMAPPED_REGION)
-               .select(F.lit("region").alias("kind"), F.col("region").alias("value")))
-    years = enriched.select(F.lit("year").alias("kind"), F.col("year_label").alias("value"))
-    phases = enriched.select(F.lit("phase").alias("kind"), F.col("phase").alias("value"))
-    return regions.unionByName(years).unionByName(phases).distinct().orderBy("kind", "value")
+    """Choices of the three filters as ``(kind, value)`` rows, each sorted distinct.
+
+    One scan: each row contributes its three (kind, value) pairs, then a single
+    distinct (partial aggregation map-side) and a sort of the few choices.
+    """
+    pairs = F.array(
+        F.struct(F.lit("region").alias("kind"), F.col("region").alias("value")),
+        F.struct(F.lit("year").alias("kind"), F.col("year_label").alias("value")),
+        F.struct(F.lit("phase").alias("kind"), F.col("phase").alias("value")),
+    )
+    out = enriched.select(F.inline(pairs))
+    out = out.where(~((F.col("kind") == "region") & (F.col("value") == UNMAPPED_REGION)))
+    return out.distinct().orderBy("kind", "value")
 
 
 # -- attainment tab ---------------------------------------------------------------

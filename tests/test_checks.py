@@ -45,3 +45,26 @@ def test_raise_on_error_only_for_errors(spark):
 def test_range(spark):
     df = spark.createDataFrame([(10.0,), (95.0,), (None,)], "s double")
     assert C.dq_range(df, "t", "s", 0, 90).first()["failures"] == 1
+
+
+def test_one_pass_table_checks_equal_separate_checks(spark):
+    df = spark.createDataFrame(
+        [(1, "001", "Primary"), (1, None, "Nope"), (2, "002", None), (None, "003", "Primary"), (None, None, "X"),
+         (3, "004", "Secondary"), (3, "004", "Secondary"), (3, "005", "Secondary")],
+        "urn int, la_code string, phase string")
+    one = {(r["column_name"], r["check_name"]): (r["failures"], r["status"]) for r in C.table_checks(
+        df, "t", "urn", ["urn", "la_code"], {"phase": ["Primary", "Secondary"]}).collect()}
+    sep = C._union([C.dq_unique(df, "t", "urn"), C.dq_not_null(df, "t", ["urn", "la_code"]),
+                    C.dq_accepted_values(df, "t", "phase", ["Primary", "Secondary"])])
+    two = {(r["column_name"], r["check_name"]): (r["failures"], r["status"]) for r in sep.collect()}
+    assert one == two
+    assert one[("urn", "unique")] == (2, "fail")
+    assert one[("la_code", "not_null")] == (2, "fail")
+    assert one[("phase", "accepted_values")] == (2, "fail")
+
+
+def test_table_checks_empty_table(spark):
+    df = spark.createDataFrame([], "urn int, la_code string")
+    rows = C.table_checks(df, "t", "urn", ["urn", "la_code"]).collect()
+    assert sorted((r["column_name"], r["check_name"], r["failures"], r["status"]) for r in rows) == [
+        ("la_code", "not_null", 0, "pass"), ("urn", "not_null", 0, "pass"), ("urn", "unique", 0, "pass")]
