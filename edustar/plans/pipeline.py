@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,12 @@ STAGING = {
 }
 
 
+def _run_together(jobs) -> None:
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        for f in [pool.submit(j) for j in jobs]:
+            f.result()
+
+
 class Warehouse:
     """Landed raw tables and written marts for one input folder."""
 
@@ -53,11 +60,19 @@ class Warehouse:
 
     # -- build ----------------------------------------------------------------
     def build(self) -> "Warehouse":
+        """Land the three raw tables, then write the three marts.
+
+        The tables of one layer do not depend on each other, so their write jobs are
+        submitted together (one thread per job; Spark runs concurrent jobs of one
+        application side by side). Any failed job re-raises here.
+        """
         self._frames.clear()
-        for name, fn in RAW_BUILDERS.items():
-            land_raw(fn(self.spark, self.sf_dir), self.raw_path(name), count=False)
-        for name, (stg_name, fn) in _marts.MART_BUILDERS.items():
-            fn(self.staging(stg_name)).write.mode("overwrite").parquet(self.mart_path(name))
+        raw_jobs = [lambda n=n, fn=fn: land_raw(fn(self.spark, self.sf_dir), self.raw_path(n), count=False)
+                    for n, fn in RAW_BUILDERS.items()]
+        _run_together(raw_jobs)
+        mart_jobs = [lambda n=n, s=s, fn=fn: fn(self.staging(s)).write.mode("overwrite").parquet(self.mart_path(n))
+                     for n, (s, fn) in _marts.MART_BUILDERS.items()]
+        _run_together(mart_jobs)
         self.built = True
         return self
 
