@@ -7,8 +7,8 @@ and a summary function returning one row
 Cost at scale: all not-null checks of a table share one aggregate pass; a uniqueness
 check is one partial+final aggregation on its key (a hot key is pre-combined map-side);
 a relationship check is one anti join of child rows against the *distinct* parent
-keys, which AQE broadcasts when the measured parent side is small and sort-merges
-otherwise.
+keys, which AQE broadcasts when the measured parent side is small; it is salted
+(``lookup_join``) so a hot child key spreads over many tasks when it is not.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edustar.operators.joins import lookup_join
 from edustar.schema import ATTENDANCE_PHASES, SCHOOL_PHASES
 
 SUMMARY_COLUMNS = ("model", "column_name", "check_name", "severity", "failures", "status")
@@ -57,9 +58,9 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
 
 def relationships_failures(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child rows whose key has no parent row; NULL child keys are not checked."""
-    keys = parent.select(F.col(field).alias("__parent_key")).where(F.col("__parent_key").isNotNull()).distinct()
+    keys = parent.select(F.col(field).alias(column)).where(F.col(column).isNotNull()).distinct()
     c = child.where(F.col(column).isNotNull())
-    return c.join(keys, c[column] == keys["__parent_key"], "left_anti")
+    return lookup_join(c, keys, column, "left_anti")
 
 
 def range_failures(df: DataFrame, column: str, lo: float, hi: float) -> DataFrame:

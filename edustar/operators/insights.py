@@ -9,13 +9,16 @@ Scale: every ``groupBy`` here runs as partial + final hash aggregation, so a hot
 (say a third of all rows) is pre-combined map-side and costs one row per map task
 after the shuffle. The per-LA results are bounded by the number of LAs; Spark's AQE
 measures them at runtime and broadcasts them into the next join when they fit its
-threshold, and keeps a sort-merge join otherwise. No explicit broadcast hint is used.
+threshold. Joins of a fact to a per-LA lookup go through ``lookup_join``, which salts
+the fact side, so a hot LA is spread over many tasks even where no broadcast happens.
+No explicit broadcast hint is used.
 """
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edustar.functions import label_unmapped
+from edustar.operators.joins import lookup_join
 
 
 # -- dimension collapsed to LA ------------------------------------------------
@@ -65,13 +68,13 @@ def la_joined(attendance: DataFrame, ks4: DataFrame, dim: DataFrame) -> DataFram
 
 def join_attendance_region(attendance: DataFrame, dim: DataFrame) -> DataFrame:
     """Every attendance row with its LA's region (left join keeps unknown LAs)."""
-    return attendance.join(region_per_la(dim), "la_code", "left")
+    return lookup_join(attendance, region_per_la(dim), "la_code", "left")
 
 
 def insight_absence_by_region(attendance: DataFrame, dim: DataFrame, phase: str = "Secondary") -> DataFrame:
     """Region, mean absence (2 places), number of LAs; highest absence first."""
     f = attendance.where(F.col("phase") == phase).select("la_code", "pct_overall_absence")
-    j = f.join(region_per_la(dim), "la_code", "left")
+    j = lookup_join(f, region_per_la(dim), "la_code", "left")
     return (j.groupBy(label_unmapped("region").alias("region"))
             .agg(F.round(F.avg("pct_overall_absence"), 2).alias("mean_secondary_absence"),
                  F.count_distinct("la_code").alias("n_las"))

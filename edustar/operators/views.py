@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from edustar.functions import label_unmapped, period_index, period_label, school_label, week_number, year_label
 from edustar.operators.insights import region_per_la, region_per_la_name
+from edustar.operators.joins import lookup_join
 from edustar.schema import SCHOOL_TABLE_COLUMNS, UNMAPPED_REGION
 
 MEASURES = ("attainment8_score", "pct_grade5_eng_maths", "ebacc_aps")
@@ -24,7 +25,7 @@ MEASURES = ("attainment8_score", "pct_grade5_eng_maths", "ebacc_aps")
 def attendance_enriched(attendance: DataFrame, dim: DataFrame) -> DataFrame:
     """Every fact row with region (unmapped labelled) and period columns."""
     f = attendance.select("la_code", "academic_year", "week_label", "phase", "pct_overall_absence")
-    j = f.join(region_per_la(dim), "la_code", "left")
+    j = lookup_join(f, region_per_la(dim), "la_code", "left")
     wk = week_number("week_label")
     return j.select(
         "academic_year", "week_label", label_unmapped("region").alias("region"), "phase",
@@ -94,7 +95,7 @@ def filter_options(enriched: DataFrame) -> DataFrame:
 def schools_enriched(ks4: DataFrame, dim: DataFrame) -> DataFrame:
     """Every result row named from the results data, region looked up by LA name."""
     f = ks4.select("urn", "school_name", "la_name", *MEASURES)
-    j = f.join(region_per_la_name(dim), "la_name", "left")
+    j = lookup_join(f, region_per_la_name(dim), "la_name", "left")
     return j.select("urn", "school_name", "la_name", "region", *MEASURES)
 
 

@@ -2,8 +2,8 @@
 
     python -m edustar.plans.explain --sf-dir /root/testdata/sf0.1 --out PLANS.md
 
-Each query runs once first (through the ``noop`` sink) so the adaptive plan shown is
-the final one AQE chose on measured sizes; the scan lines (``PushedFilters``,
+Each query is collected once first, through the frame's own query execution, so the
+adaptive plan shown is the final one AQE chose on measured sizes; the scan lines (``PushedFilters``,
 ``ReadSchema``) are listed under each tree.
 """
 
@@ -42,7 +42,7 @@ def main(argv=None) -> int:
     for name in HEADLINE:
         fn = extra.get(name) or catalog.QUERIES[name]
         df = fn(spark, args.sf_dir)
-        df.write.format("noop").mode("overwrite").save()
+        df.collect()  # through the frame's own execution, so the plan below is AQE's final one
         plan = _plan(spark, df)
         tree = plan.split("\n\n")[0]
         scans = [ln for ln in plan.splitlines() if ln.startswith(("PushedFilters", "ReadSchema"))]
