@@ -145,9 +145,6 @@ def relationship_checks(t) -> DataFrame:
     ])
 
 
-_CHECK_PREFIX = {"uq": "unique", "nn": "not_null", "av": "accepted_values"}
-
-
 def table_checks(df: DataFrame, model: str, unique: str | None = None, not_null: Sequence[str] = (),
                  accepted: dict | None = None, severity: str = "error") -> DataFrame:
     """Every unique / not-null / accepted-values check of one table in a single pass.
@@ -158,25 +155,23 @@ def table_checks(df: DataFrame, model: str, unique: str | None = None, not_null:
     it is a single global aggregate. Output: one summary row per check.
     """
     accepted = accepted or {}
-    counters = ([F.count_if(F.col(c).isNull()).alias(f"nn__{c}") for c in not_null]
-                + [F.count_if(~F.col(c).isin(list(v))).alias(f"av__{c}") for c, v in accepted.items()])
-    names = [f"nn__{c}" for c in not_null] + [f"av__{c}" for c in accepted]
+    checks = ([(f"nn{i}", c, "not_null", F.count_if(F.col(c).isNull())) for i, c in enumerate(not_null)]
+              + [(f"av{i}", c, "accepted_values", F.count_if(~F.col(c).isin(list(v))))
+                 for i, (c, v) in enumerate(accepted.items())])
     if unique:
-        per_key = df.groupBy(unique).agg(F.count(F.lit(1)).alias("__n"), *counters)
+        per_key = df.groupBy(unique).agg(F.count(F.lit(1)).alias("__n"), *[e.alias(k) for k, _, _, e in checks])
         totals = per_key.agg(
-            F.count_if(F.col(unique).isNotNull() & (F.col("__n") > 1)).alias(f"uq__{unique}"),
-            *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names])
-        names = [f"uq__{unique}"] + names
+            F.count_if(F.col(unique).isNotNull() & (F.col("__n") > 1)).alias("uq"),
+            *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k, _, _, _ in checks])
+        checks = [("uq", unique, "unique", None)] + checks
     else:
-        totals = df.agg(*counters)
-    long = totals.unpivot([], names, "__key", "failures")
-    parts = F.split(F.col("__key"), "__", 2)
-    check = F.create_map(*[x for k, v in _CHECK_PREFIX.items() for x in (F.lit(k), F.lit(v))])[parts[0]]
-    return long.select(
-        F.lit(model).alias("model"), parts[1].alias("column_name"), check.alias("check_name"),
-        F.lit(severity).alias("severity"), F.col("failures").cast("bigint").alias("failures"),
-        _status(severity).alias("status"),
-    )
+        totals = df.agg(*[e.alias(k) for k, _, _, e in checks])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("check_name"),
+                              F.col(k).cast("bigint").alias("failures")) for k, c, name, _ in checks])
+    f = F.col("failures")
+    return totals.select(F.inline(rows)).select(
+        F.lit(model).alias("model"), "column_name", "check_name", F.lit(severity).alias("severity"), f,
+        F.when(f == 0, "pass").otherwise("warn" if severity == "warn" else "fail").alias("status"))
 
 
 def dq_summary(t) -> DataFrame:

@@ -72,12 +72,21 @@ def join_attendance_region(attendance: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def insight_absence_by_region(attendance: DataFrame, dim: DataFrame, phase: str = "Secondary") -> DataFrame:
-    """Region, mean absence (2 places), number of LAs; highest absence first."""
-    f = attendance.where(F.col("phase") == phase).select("la_code", "pct_overall_absence")
-    j = lookup_join(f, region_per_la(dim), "la_code", "left")
+    """Region, mean absence (2 places), number of LAs; highest absence first.
+
+    The fact is folded to one row per LA (sum and count of the measure) before the
+    region is attached, so fact rows never cross the network and the join pairs one
+    row per LA on each side. The region mean is the sum of the LA sums over the sum of
+    the LA counts (the mean of all weekly rows, as ``avg`` gives), and the LA count is
+    the number of LA groups with a code (``count(distinct la_code)``).
+    """
+    per_la = (attendance.where(F.col("phase") == phase)
+              .groupBy("la_code")
+              .agg(F.sum("pct_overall_absence").alias("abs_sum"), F.count("pct_overall_absence").alias("abs_n")))
+    j = per_la.join(region_per_la(dim), "la_code", "left")
     return (j.groupBy(label_unmapped("region").alias("region"))
-            .agg(F.round(F.avg("pct_overall_absence"), 2).alias("mean_secondary_absence"),
-                 F.count_distinct("la_code").alias("n_las"))
+            .agg(F.round(F.try_divide(F.sum("abs_sum"), F.sum("abs_n")), 2).alias("mean_secondary_absence"),
+                 F.count("la_code").alias("n_las"))
             .orderBy(F.desc_nulls_last("mean_secondary_absence"), F.asc("region")))
 
 
