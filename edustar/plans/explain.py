@@ -49,7 +49,6 @@ def main(argv=None) -> int:
         lines += [f"## {name}", "", "```", tree.strip(), "", *scans, "```", ""]
     with open(args.out, "w") as fh:
         fh.write("\n".join(lines))
-    spark.stop()
     return 0
 
 

@@ -66,7 +66,6 @@ def main(argv=None) -> int:
     for name, df in outputs.items():
         step(name, lambda df=df, name=name: (df.write.mode("overwrite").parquet(f"{wh.root}/insights/{name}"), None)[1])
     print(json.dumps({"step": "done", "root": wh.root}))
-    spark.stop()
     return 0
 
 
