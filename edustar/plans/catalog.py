@@ -654,8 +654,7 @@ def q_screen_verdict_counts(spark, sf_dir):
 @register("run_screened", O.sql(MART_SQL + "\nlimit 1000"))
 def q_run_screened(spark, sf_dir):
     wh = W(spark, sf_dir)
-    wh.register_views()
-    return S.run_screened(spark, MART_SQL, allowed_root=f"{wh.root}/marts")
+    return S.run_screened(spark, MART_SQL, {n: wh.mart_path(n) for n in wh.MARTS})
 
 
 def queries() -> dict[str, Query]:

@@ -43,6 +43,8 @@ def _run_together(jobs) -> None:
 class Warehouse:
     """Landed raw tables and written marts for one input folder."""
 
+    MARTS = tuple(_marts.MART_BUILDERS)
+
     def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -106,10 +108,13 @@ class Warehouse:
     def ks4(self) -> DataFrame:
         return self.mart("fct_ks4_results")
 
-    def register_views(self) -> None:
-        """Marts under their bare names, for SQL text (``mart_query``)."""
+    def register_views(self, staging: bool = True) -> None:
+        """Marts (and the lazy staging views) under their bare names, for SQL text."""
         for name in _marts.MART_BUILDERS:
             self.mart(name).createOrReplaceTempView(name)
+        if staging:
+            for name in STAGING:
+                self.staging(name).createOrReplaceTempView(name)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
