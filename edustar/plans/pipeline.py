@@ -25,6 +25,7 @@ from edustar.sources.files import land_raw
 
 _RUN = uuid.uuid4().hex[:12]
 _LOCK = threading.Lock()
+_LOCK_FRAMES = threading.Lock()
 _CACHE: dict[tuple, "Warehouse"] = {}
 
 STAGING = {
@@ -62,28 +63,33 @@ class Warehouse:
 
     # -- build ----------------------------------------------------------------
     def build(self) -> "Warehouse":
-        """Land the three raw tables, then write the three marts.
+        """Land each raw table and write the mart built from it.
 
-        The tables of one layer do not depend on each other, so their write jobs are
-        submitted together (one thread per job; Spark runs concurrent jobs of one
-        application side by side). Any failed job re-raises here.
+        Each mart depends on one raw table only (dim_school <- raw_gias, the attendance
+        fact <- raw_attendance, the results fact <- raw_ks4), so the three chains
+        (land raw, then write its mart) are submitted together, one thread each; Spark
+        runs concurrent jobs of one application side by side. Any failure re-raises.
         """
         self._frames.clear()
-        raw_jobs = [lambda n=n, fn=fn: land_raw(fn(self.spark, self.sf_dir), self.raw_path(n), count=False)
-                    for n, fn in RAW_BUILDERS.items()]
-        _run_together(raw_jobs)
-        mart_jobs = [lambda n=n, s=s, fn=fn: fn(self.staging(s)).write.mode("overwrite").parquet(self.mart_path(n))
-                     for n, (s, fn) in _marts.MART_BUILDERS.items()]
-        _run_together(mart_jobs)
+        source = {"dim_school": "raw_gias", "fct_attendance_weekly": "raw_attendance", "fct_ks4_results": "raw_ks4"}
+
+        def chain(mart: str) -> None:
+            raw_name = source[mart]
+            stg_name, fn = _marts.MART_BUILDERS[mart]
+            land_raw(RAW_BUILDERS[raw_name](self.spark, self.sf_dir), self.raw_path(raw_name), count=False)
+            fn(self.staging(stg_name)).write.mode("overwrite").parquet(self.mart_path(mart))
+
+        _run_together([lambda m=m: chain(m) for m in source])
         self.built = True
         return self
 
     # -- readers --------------------------------------------------------------
     def _read(self, path: str) -> DataFrame:
         """One DataFrame per stored table: its file listing and footers are read once."""
-        df = self._frames.get(path)
-        if df is None:
-            df = self._frames[path] = self.spark.read.parquet(path)
+        with _LOCK_FRAMES:
+            df = self._frames.get(path)
+            if df is None:
+                df = self._frames[path] = self.spark.read.parquet(path)
         return df
 
     def raw(self, name: str) -> DataFrame:

@@ -16,8 +16,12 @@ def get_session(cpus: int | None = None, master: str | None = None, app: str = "
     runtime broadcast by measured size), UTC, and no UI server.
     """
     cpus = int(cpus or os.environ.get("BENCH_CPUS", 8))
-    b = SparkSession.builder.appName(app)
-    b = b.master(master or f"local[{cpus}]")
+    master = master or f"local[{cpus}]"
+    b = SparkSession.builder.appName(app).master(master)
+    if master.startswith("local"):
+        # One machine: aim AQE's coalesced partitions at 8 MB, so a stage of a few
+        # tens of MB still spreads over the cores. On a cluster keep Spark's 64 MB.
+        b = b.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(8 << 20))
     return (
         b.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
