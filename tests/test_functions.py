@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.errors import ArithmeticException, NumberFormatException
-from pyspark.sql import functions as F
 
 from edustar.functions import (
     flag_secondary, label_unmapped, pad_code, period_index, period_label, school_label, strict_int,
