@@ -9,23 +9,39 @@ aggregate rather than a plain shuffle, so beyond the broadcast threshold a hot k
 ``lookup_join`` makes the join skew-proof either way: each large-side row gets a salt
 in ``[0, buckets)`` and each lookup row is repeated once per salt, so the join key
 ``(key, salt)`` spreads a hot key over ``buckets`` tasks, and every large row still
-meets exactly the one lookup row of its key. The salt comes from the row's position
-in its input split (``monotonically_increasing_id``), so identical copies spread too;
-on a re-run of a scan task it is the same. The lookup grows by ``buckets`` rows per
+meets exactly the one lookup row of its key. The lookup grows by ``buckets`` rows per
 key only.
+
+The salt is a hash of the row's place in storage (Parquet's hidden
+``_metadata.file_path`` and ``_metadata.row_index``), so it is the same when a task
+is re-run after a lost executor, identical copies of a row spread like any other
+rows, and (unlike ``rand`` or ``monotonically_increasing_id``) it is deterministic,
+so filters above the join still reach the scan. A large side that is not a direct
+file scan (an aggregate, an in-memory frame) is salted by a hash of its contents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT_BUCKETS = 32
 _SALT = "__salt"
 
 
+def row_salt(df: DataFrame, buckets: int) -> Column:
+    """A deterministic salt in ``[0, buckets)`` per row of ``df``."""
+    try:
+        df.select(F.col("_metadata.row_index"))  # resolves only over a file scan
+        basis = [F.col("_metadata.file_path"), F.col("_metadata.row_index")]
+    except AnalysisException:
+        basis = [F.col(f"`{c}`") for c in df.columns]
+    return F.pmod(F.xxhash64(*basis), F.lit(buckets))
+
+
 def lookup_join(big: DataFrame, lookup: DataFrame, key: str | Sequence[str], how: str = "left",
                 buckets: int = SALT_BUCKETS) -> DataFrame:
     """``big.join(lookup, key, how)`` for a lookup unique on ``key``, with hot keys spread.
@@ -35,6 +51,6 @@ def lookup_join(big: DataFrame, lookup: DataFrame, key: str | Sequence[str], how
     keys = [key] if isinstance(key, str) else list(key)
     if buckets <= 1:
         return big.join(lookup, keys, how)
-    salted = big.withColumn(_SALT, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)))
+    salted = big.withColumn(_SALT, row_salt(big, buckets))
     copies = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1)).cast("array<bigint>")))
     return salted.join(copies, keys + [_SALT], how).drop(_SALT)

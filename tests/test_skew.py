@@ -101,15 +101,25 @@ def test_hot_key_anti_join_and_unique(spark, skewed, no_broadcast_low_skew):
     assert r["failures"] == f.la_code.value_counts().gt(1).sum()
 
 
-def test_salt_spreads_hot_key_and_identical_copies(spark, no_broadcast_low_skew):
+def test_salt_spreads_hot_key_and_identical_copies(spark, no_broadcast_low_skew, tmp_dir):
     from pyspark.sql import functions as F
     from edustar.operators.joins import lookup_join
-    # 30,000 identical copies of one row plus 1,000 other keys
-    big = spark.range(31_000).select(F.when(F.col("id") < 30_000, F.lit("001"))
-                                     .otherwise(F.format_string("%03d", F.col("id") % 1000)).alias("k"))
+    # 30,000 identical copies of one row plus 1,000 other keys, stored as Parquet
+    path = os.path.join(tmp_dir, "copies")
+    (spark.range(31_000).select(F.when(F.col("id") < 30_000, F.lit("001"))
+                                .otherwise(F.format_string("%03d", F.col("id") % 1000)).alias("k"))
+     .write.parquet(path))
+    big = spark.read.parquet(path)
     lookup = big.select("k").distinct().withColumn("v", F.lit(1))
     j = lookup_join(big, lookup, "k", "inner")
     per_task = [r[0] for r in j.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert sum(per_task) == 31_000
     hot = j.where("k = '001'").groupBy(F.spark_partition_id()).count().collect()
     assert len(hot) > 1  # the hot key is not in one task
+
+
+def test_salt_keeps_filter_pushdown(spark, skewed):
+    fact, dim = skewed
+    q = I.join_attendance_region(fact, dim).where("phase = 'Secondary'")
+    _, plan = _run_and_plan(q)
+    assert "EqualTo(phase,Secondary)" in plan
