@@ -21,7 +21,7 @@ from edustar.operators import marts as _marts
 from edustar.operators import staging as _stg
 from edustar.session import storage_root
 from edustar.sources.fixtures import RAW_BUILDERS
-from edustar.sources.files import land_raw
+from edustar.sources.files import land_raw, read_ees_csv, read_register_csv
 
 _RUN = uuid.uuid4().hex[:12]
 _LOCK = threading.Lock()
@@ -62,9 +62,14 @@ class Warehouse:
         return f"{self.root}/marts/{name}"
 
     # -- build ----------------------------------------------------------------
-    def build(self) -> "Warehouse":
+    def build(self, csv_files: dict[str, str] | None = None) -> "Warehouse":
         """Land each raw table and write the mart built from it.
 
+        By default the raw tables come from the driver tables under ``sf_dir``. With
+        ``csv_files`` ({"raw_gias": path, "raw_attendance": path, "raw_ks4": path}) they
+        are read from the published CSV extracts instead (register in Latin-1, the two
+        statistics files in UTF-8), as the original loader does.
+
         Each mart depends on one raw table only (dim_school <- raw_gias, the attendance
         fact <- raw_attendance, the results fact <- raw_ks4), so the three chains
         (land raw, then write its mart) are submitted together, one thread each; Spark
@@ -72,11 +77,17 @@ class Warehouse:
         """
         self._frames.clear()
         source = {"dim_school": "raw_gias", "fct_attendance_weekly": "raw_attendance", "fct_ks4_results": "raw_ks4"}
+        readers = {"raw_gias": read_register_csv, "raw_attendance": read_ees_csv, "raw_ks4": read_ees_csv}
+
+        def raw_frame(raw_name: str) -> DataFrame:
+            if csv_files:
+                return readers[raw_name](self.spark, csv_files[raw_name])
+            return RAW_BUILDERS[raw_name](self.spark, self.sf_dir)
 
         def chain(mart: str) -> None:
             raw_name = source[mart]
             stg_name, fn = _marts.MART_BUILDERS[mart]
-            land_raw(RAW_BUILDERS[raw_name](self.spark, self.sf_dir), self.raw_path(raw_name), count=False)
+            land_raw(raw_frame(raw_name), self.raw_path(raw_name), count=False)
             fn(self.staging(stg_name)).write.mode("overwrite").parquet(self.mart_path(mart))
 
         _run_together([lambda m=m: chain(m) for m in source])

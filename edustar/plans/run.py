@@ -1,6 +1,7 @@
 """Command line: the whole build, like ``load`` + ``build`` of the original.
 
     python -m edustar.plans.run --sf-dir /root/testdata/sf0.01 [--out DIR] [--no-checks]
+    python -m edustar.plans.run --register GIAS.csv --attendance ATT.csv --ks4 KS4.csv [--out DIR]
 
 Steps: driver tables -> landed raw tables -> staging -> written marts -> the 22 data
 checks (an error-level failure stops the run, warnings are reported) -> the two
@@ -24,22 +25,32 @@ from edustar.sources import files
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--sf-dir", default=None, help="driver tables to map to the raw tables")
+    ap.add_argument("--register", default=None, help="school register CSV (Latin-1)")
+    ap.add_argument("--attendance", default=None, help="weekly attendance CSV (UTF-8)")
+    ap.add_argument("--ks4", default=None, help="KS4 results CSV (UTF-8)")
     ap.add_argument("--out", default=None, help="root folder for tables (default: the session checkpoint dir)")
     ap.add_argument("--no-checks", action="store_true")
     ap.add_argument("--cpus", type=int, default=None)
     args = ap.parse_args(argv)
+    csv_files = None
+    if args.register or args.attendance or args.ks4:
+        if not (args.register and args.attendance and args.ks4):
+            ap.error("--register, --attendance and --ks4 go together")
+        csv_files = {"raw_gias": args.register, "raw_attendance": args.attendance, "raw_ks4": args.ks4}
+    elif not args.sf_dir:
+        ap.error("give --sf-dir or the three CSV files")
 
     spark = get_session(args.cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    wh = Warehouse(spark, args.sf_dir, root=args.out)
+    wh = Warehouse(spark, args.sf_dir or args.register, root=args.out)
 
     def step(name, fn):
         t = time.time()
         out = fn()
         print(json.dumps({"step": name, "sec": round(time.time() - t, 3), **(out or {})}), flush=True)
 
-    step("build", lambda: (wh.build(), None)[1])
+    step("build", lambda: (wh.build(csv_files), None)[1])
     step("load_counts", lambda: {r["table_name"]: r["n_rows"] for r in files.load_counts(
         spark, {n: wh.raw_path(n) for n in ("raw_gias", "raw_attendance", "raw_ks4")}).collect()})
     if not args.no_checks:
