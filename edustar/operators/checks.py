@@ -98,6 +98,15 @@ def dq_range(df: DataFrame, model: str, column: str, lo: float, hi: float, sever
     return _summary(counted, model, "range", severity, column)
 
 
+def dq_year_form(df: DataFrame, model: str, column: str = "academic_year", severity: str = "warn") -> DataFrame:
+    """Years must be 4-digit start years (2022 for 2022/23): the period labels need that form.
+
+    A value like 202324 would label as '202324/2325'. NULL passes (not_null covers it).
+    """
+    counted = df.agg(F.count_if(~F.col(column).between(1000, 9999)).alias("failures"))
+    return _summary(counted, model, "year_form", severity, column)
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

@@ -609,6 +609,14 @@ def q_dq_range(spark, sf_dir):
     return C.dq_range(W(spark, sf_dir).ks4, "fct_ks4_results", "attainment8_score", 0, 90)
 
 
+@register("dq_year_form", O.sql(O.union([O.check_row(
+    m, "academic_year", "year_form", "warn", f"SELECT count(*) FROM {m} WHERE NOT (academic_year BETWEEN 1000 AND 9999)")
+    for m in ("fct_attendance_weekly", "fct_ks4_results")])))
+def q_dq_year_form(spark, sf_dir):
+    wh = W(spark, sf_dir)
+    return C._union([C.dq_year_form(wh.attendance, "fct_attendance_weekly"), C.dq_year_form(wh.ks4, "fct_ks4_results")])
+
+
 @register("dq_summary", O.sql(O.union(O.UNIQUE_CHECKS + O.NOT_NULL_CHECKS + O.ACCEPTED_CHECKS + O.RELATIONSHIP_CHECKS)))
 def q_dq_summary(spark, sf_dir):
     return C.dq_summary(_tables(spark, sf_dir))

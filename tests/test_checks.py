@@ -68,3 +68,9 @@ def test_table_checks_empty_table(spark):
     rows = C.table_checks(df, "t", "urn", ["urn", "la_code"]).collect()
     assert sorted((r["column_name"], r["check_name"], r["failures"], r["status"]) for r in rows) == [
         ("la_code", "not_null", 0, "pass"), ("urn", "not_null", 0, "pass"), ("urn", "unique", 0, "pass")]
+
+
+def test_year_form(spark):
+    df = spark.createDataFrame([(2022,), (202324,), (None,), (999,)], "academic_year int")
+    r = C.dq_year_form(df, "t").first()
+    assert (r["failures"], r["status"], r["check_name"]) == (2, "warn", "year_form")
