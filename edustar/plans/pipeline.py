@@ -1,4 +1,5 @@
-"""The build: driver tables -> landed raw -> staging (lazy) -> marts (written).
+"""The build: driver tables (or the published CSV extracts) -> landed raw -> staging
+(lazy) -> marts (written).
 
 Order and materialisation follow the original layering: raw tables are landed whole
 (overwrite), staging stays a lazy plan that Catalyst folds into each mart's write,
