@@ -91,3 +91,9 @@ def test_export_marts_round_trip(spark, tmp_dir):
     counts = files.export_marts(marts, tmp_dir)
     assert [tuple(r) for r in counts.collect()] == [("dim_school", 1)]
     assert spark.read.parquet(os.path.join(tmp_dir, "dim_school")).columns == ["urn", "name"]
+
+
+def test_long_row_aborts(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "l.csv"), "a,b\n1,2\n3,4,5\n", "utf-8")
+    with pytest.raises(Exception):
+        files.read_ees_csv(spark, p).collect()

@@ -83,3 +83,11 @@ def test_compare_same_label_and_missing(spark):
 def test_labels_sorted_distinct(spark):
     got = [r.label for r in V.school_labels(spark.createDataFrame(SCHOOLS, SCH)).collect()]
     assert got == sorted(set(got)) and len(got) == 4
+
+
+def test_compare_with_null_region(spark):
+    df = spark.createDataFrame(SCHOOLS, SCH)
+    r = V.compare_schools(df, "Ash Manor School — Surrey", "St. Mary's — Surrey").first()
+    assert r["a_region"] is None and r["b_region"] == "South East"
+    assert r["delta_attainment8_score"] is None  # A has no score
+    assert r["delta_pct_grade5_eng_maths"] == 5.0
