@@ -4,9 +4,10 @@ Reading rules follow the original loader: the register is Latin-1, the statistic
 files UTF-8; nothing is type-inferred; a malformed row aborts the load (FAILFAST);
 the reader's NULL tokens become NULL while suppression markers survive as text.
 
-``multiLine=True`` is needed because quoted fields may hold newlines; it makes each
-input file a single split, so the landing writes Parquet at once and every later
-read splits normally.
+``multiLine=True`` (the default) is needed when quoted fields may hold newlines; it
+makes each input file a single split, so the landing writes Parquet at once and every
+later read splits normally. For large files known to be free of embedded newlines,
+``multi_line=False`` lets Spark split each file across many tasks.
 """
 
 from __future__ import annotations
@@ -76,22 +77,26 @@ def na_tokens_to_null(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS) -> Dat
     ])
 
 
-def _reader(spark: SparkSession, encoding: str):
+def _reader(spark: SparkSession, encoding: str, multi_line: bool = True):
     return (spark.read.option("header", True).option("encoding", encoding)
-            .option("multiLine", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
             .option("mode", "FAILFAST").option("inferSchema", False))
 
 
-def read_register_csv(spark: SparkSession, path: str) -> DataFrame:
-    """School register CSV (Latin-1) -> the 7 landed columns, all text."""
-    df = _reader(spark, "ISO-8859-1").csv(path)
+def read_register_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """School register CSV (Latin-1) -> the 7 landed columns, all text.
+
+    ``multi_line=False`` lets Spark split one large file across tasks; use it only for
+    files known to have no newline inside a quoted field.
+    """
+    df = _reader(spark, "ISO-8859-1", multi_line).csv(path)
     require_columns(df, REGISTER_COLUMNS)
     return na_tokens_to_null(rename_map(df, REGISTER_COLUMNS))
 
 
-def read_ees_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Statistics CSV (UTF-8) -> every column, all text, headers sanitised."""
-    df = _reader(spark, "UTF-8").csv(path)
+def read_ees_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Statistics CSV (UTF-8) -> every column, all text, headers sanitised (see ``multi_line`` above)."""
+    df = _reader(spark, "UTF-8", multi_line).csv(path)
     return na_tokens_to_null(sanitise_headers(df))
 
 

@@ -97,3 +97,10 @@ def test_long_row_aborts(spark, tmp_dir):
     p = _write(os.path.join(tmp_dir, "l.csv"), "a,b\n1,2\n3,4,5\n", "utf-8")
     with pytest.raises(Exception):
         files.read_ees_csv(spark, p).collect()
+
+
+def test_single_line_mode_reads_the_same(spark, tmp_dir):
+    p = _write(os.path.join(tmp_dir, "s1.csv"), "A b,C\n1,x\n2,\n3,NA\n", "utf-8")
+    a = sorted(tuple(r) for r in files.read_ees_csv(spark, p).collect())
+    b = sorted(tuple(r) for r in files.read_ees_csv(spark, p, multi_line=False).collect())
+    assert a == b == [("1", "x"), ("2", None), ("3", None)]
