@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from edustar.schema import NULL_TOKENS, REGISTER_COLUMNS
 
-_BOMS = ("﻿", "ï»¿")
+_BOMS = ("\ufeff", "\u00ef\u00bb\u00bf")  # the BOM decoded as UTF-8, and as Latin-1
 
 
 def sanitise_name(name: str) -> str:
