@@ -69,13 +69,11 @@ def _tables(spark, sf_dir):
 
 
 def _enriched(spark, sf_dir):
-    wh = W(spark, sf_dir)
-    return V.attendance_enriched(wh.attendance, wh.dim)
+    return W(spark, sf_dir).enriched
 
 
 def _schools(spark, sf_dir):
-    wh = W(spark, sf_dir)
-    return V.schools_enriched(wh.ks4, wh.dim)
+    return W(spark, sf_dir).schools
 
 
 # ===================================================================== 2.1 sources

@@ -108,8 +108,17 @@ class Warehouse:
         return self._read(self.raw_path(name))
 
     def staging(self, name: str) -> DataFrame:
-        raw_name, fn = STAGING[name]
-        return fn(self.raw(raw_name))
+        return self._memo(f"staging:{name}", lambda: STAGING[name][1](self.raw(STAGING[name][0])))
+
+    def _memo(self, key: str, make) -> DataFrame:
+        """A shared DataFrame (a plan, not data) per derived view; it re-runs in full on each action."""
+        with _LOCK_FRAMES:
+            df = self._frames.get(key)
+        if df is None:
+            df = make()
+            with _LOCK_FRAMES:
+                df = self._frames.setdefault(key, df)
+        return df
 
     def mart(self, name: str) -> DataFrame:
         return self._read(self.mart_path(name))
@@ -126,6 +135,18 @@ class Warehouse:
     def ks4(self) -> DataFrame:
         return self.mart("fct_ks4_results")
 
+    @property
+    def enriched(self) -> DataFrame:
+        """Every attendance fact row with region and period columns (the dashboard's base view)."""
+        from edustar.operators.views import attendance_enriched
+        return self._memo("enriched", lambda: attendance_enriched(self.attendance, self.dim))
+
+    @property
+    def schools(self) -> DataFrame:
+        """Every KS4 result row named from the results, region looked up by LA name."""
+        from edustar.operators.views import schools_enriched
+        return self._memo("schools", lambda: schools_enriched(self.ks4, self.dim))
+
     def register_views(self, staging: bool = True) -> None:
         """Marts (and the lazy staging views) under their bare names, for SQL text."""
         for name in _marts.MART_BUILDERS:
