@@ -1,4 +1,4 @@
-"""edustar: a school-data star schema, its checks and its insights as Spark jobs.
+"""edustar: a star schema of public school data, its checks and its insights as Spark jobs.
 
 Layers, each a plain function over DataFrames:
 
