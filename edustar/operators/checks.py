@@ -175,12 +175,12 @@ def table_checks(df: DataFrame, model: str, unique: str | None = None, not_null:
         checks = [("uq", unique, "unique", None)] + checks
     else:
         totals = df.agg(*[e.alias(k) for k, _, _, e in checks])
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(name).alias("check_name"),
-                              F.col(k).cast("bigint").alias("failures")) for k, c, name, _ in checks])
-    f = F.col("failures")
-    return totals.select(F.inline(rows)).select(
-        F.lit(model).alias("model"), "column_name", "check_name", F.lit(severity).alias("severity"), f,
-        F.when(f == 0, "pass").otherwise("warn" if severity == "warn" else "fail").alias("status"))
+    bad = "warn" if severity == "warn" else "fail"
+    rows = F.array(*[F.struct(
+        F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(name).alias("check_name"),
+        F.lit(severity).alias("severity"), F.col(k).cast("bigint").alias("failures"),
+        F.when(F.col(k) == 0, "pass").otherwise(bad).alias("status")) for k, c, name, _ in checks])
+    return totals.select(F.inline(rows))
 
 
 def dq_summary(t) -> DataFrame:
