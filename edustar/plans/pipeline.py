@@ -47,8 +47,13 @@ class Warehouse:
 
     MARTS = tuple(_marts.MART_BUILDERS)
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
+                 partition_facts_by_year: bool = False):
+        """``partition_facts_by_year`` writes both facts in one folder per academic year, so a
+        year predicate prunes whole folders (``PartitionFilters``); worth it once the facts
+        span many years, not at the test sizes."""
         self.spark = spark
+        self.partition_facts_by_year = partition_facts_by_year
         self.sf_dir = sf_dir.rstrip("/")
         tag = "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir.strip("/"))[-60:]
         self.root = root or f"{storage_root(spark)}/edustar/{_RUN}/{tag}"
@@ -89,7 +94,10 @@ class Warehouse:
             raw_name = source[mart]
             stg_name, fn = _marts.MART_BUILDERS[mart]
             land_raw(raw_frame(raw_name), self.raw_path(raw_name), count=False)
-            fn(self.staging(stg_name)).write.mode("overwrite").parquet(self.mart_path(mart))
+            writer = fn(self.staging(stg_name)).write.mode("overwrite")
+            if self.partition_facts_by_year and mart.startswith("fct_"):
+                writer = writer.partitionBy("academic_year")
+            writer.parquet(self.mart_path(mart))
 
         _run_together([lambda m=m: chain(m) for m in source])
         self.built = True

@@ -70,3 +70,25 @@ def test_anti_plus_semi_equals_child_rows(wh):
     semi = f.join(d.select("urn"), "urn", "left_semi").count()
     assert anti + semi == f.where("urn is not null").count()
     assert anti == 65
+
+
+def test_year_partitioned_facts_give_the_same_answers(spark, wh, tmp_path):
+    import os
+
+    from edustar.operators import views as V
+    from edustar.plans.pipeline import Warehouse
+
+    def same(a, b):
+        b = b.select(*a.columns)
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    part = Warehouse(spark, SF001, root=os.path.join(str(tmp_path), "p"), partition_facts_by_year=True).build()
+    for m in ("fct_attendance_weekly", "fct_ks4_results"):
+        assert same(wh.mart(m), part.mart(m))
+    q = V.filter_view(V.attendance_enriched(part.attendance, part.dim), "Secondary", None, ["1995/96"])
+    base = V.filter_view(V.attendance_enriched(wh.attendance, wh.dim), "Secondary", None, ["1995/96"])
+    assert base.count() > 0 and same(base, q)
+    plan = part.attendance.where(F.col("academic_year") == 1995)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(academic_year" in plan
+    assert same(I.insight_absence_quartiles(wh.attendance, wh.ks4, wh.dim),
+                I.insight_absence_quartiles(part.attendance, part.ks4, part.dim))
