@@ -5,7 +5,7 @@ LA level. The dimension is collapsed to one row per LA *before* any join with
 attendance, and both facts are aggregated per LA *before* they meet, so no join ever
 fans rows out.
 
-Scale: every ``groupBy`` here runs as partial + final hash aggregation, so a hot LA
+Scale: every ``groupBy`` here runs as a partial + final aggregation, so a hot LA
 (say a third of all rows) is pre-combined map-side and costs one row per map task
 after the shuffle. The per-LA results are bounded by the number of LAs; Spark's AQE
 measures them at runtime and broadcasts them into the next join when they fit its
