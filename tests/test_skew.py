@@ -123,3 +123,15 @@ def test_salt_keeps_filter_pushdown(spark, skewed):
     q = I.join_attendance_region(fact, dim).where("phase = 'Secondary'")
     _, plan = _run_and_plan(q)
     assert "EqualTo(phase,Secondary)" in plan
+
+
+def test_lookup_join_null_keys_and_kinds(spark):
+    from edustar.operators.joins import lookup_join
+    big = spark.createDataFrame([("001", 1), (None, 2), ("009", 3), ("001", 4)], "k string, v int")
+    lookup = spark.createDataFrame([("001", "A"), (None, "N")], "k string, r string")
+    left = sorted((r.v, r.r) for r in lookup_join(big, lookup, "k", "left").collect())
+    assert left == [(1, "A"), (2, None), (3, None), (4, "A")]
+    assert sorted(r.v for r in lookup_join(big, lookup, "k", "inner").collect()) == [1, 4]
+    assert sorted(r.v for r in lookup_join(big, lookup, "k", "left_anti").collect()) == [2, 3]
+    assert sorted(r.v for r in lookup_join(big, lookup, "k", "left_semi").collect()) == [1, 4]
+    assert lookup_join(big, lookup, "k", "left").columns == ["k", "v", "r"]
