@@ -39,7 +39,7 @@ def get_session(cpus: int | None = None, master: str | None = None, app: str = "
         .config("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 << 20))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("EDUSTAR_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("EDUSTAR_DRIVER_MEMORY", "4g"))
         .getOrCreate()
     )
 
