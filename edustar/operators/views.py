@@ -51,6 +51,12 @@ def filter_view(enriched: DataFrame, phase: str = "Secondary", regions: Sequence
         cond = cond & (F.col("region") != UNMAPPED_REGION)
     if years:
         cond = cond & F.col("year_label").isin(list(years))
+        # A label 'YYYY/yy' only comes from academic_year YYYY, so the year choice also
+        # implies a predicate on the stored key column, which reaches the scan (and
+        # prunes year folders); labels that do not parse can match no row anyway.
+        if "academic_year" in enriched.columns:
+            starts = sorted({int(y.split("/")[0]) for y in years if y.split("/")[0].isdigit()})
+            cond = cond & F.col("academic_year").isin(starts)
     return enriched.where(cond)
 
 

@@ -91,3 +91,17 @@ def test_compare_with_null_region(spark):
     assert r["a_region"] is None and r["b_region"] == "South East"
     assert r["delta_attainment8_score"] is None  # A has no score
     assert r["delta_pct_grade5_eng_maths"] == 5.0
+
+
+def test_year_choice_reaches_the_scan(spark, tmp_dir):
+    import os
+    rows = [("001", 2022, "Week 1", "Secondary", 5.0), ("001", 2023, "Week 1", "Secondary", 7.0)]
+    path = os.path.join(tmp_dir, "fact")
+    spark.createDataFrame(rows, "la_code string, academic_year int, week_label string, phase string, "
+                                "pct_overall_absence double").write.parquet(path)
+    dim = spark.createDataFrame([("001", "London")], "la_code string, region string")
+    view = V.filter_view(V.attendance_enriched(spark.read.parquet(path), dim), "Secondary", None, ["2023/24", "bad"])
+    assert [r.pct_overall_absence for r in view.collect()] == [7.0]
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = view._jdf.queryExecution().explainString(mode)
+    assert "EqualTo(academic_year,2023)" in plan
