@@ -14,6 +14,8 @@ the fact side, so a hot LA is spread over many tasks even where no broadcast hap
 No explicit broadcast hint is used.
 """
 
+from __future__ import annotations
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,12 +68,18 @@ def la_joined(attendance: DataFrame, ks4: DataFrame, dim: DataFrame) -> DataFram
 
 # -- insights ---------------------------------------------------------------------
 
-def join_attendance_region(attendance: DataFrame, dim: DataFrame) -> DataFrame:
-    """Every attendance row with its LA's region (left join keeps unknown LAs)."""
-    return lookup_join(attendance, region_per_la(dim), "la_code", "left")
+def join_attendance_region(attendance: DataFrame, dim: DataFrame, la_region: DataFrame | None = None) -> DataFrame:
+    """Every attendance row with its LA's region (left join keeps unknown LAs).
+
+    ``la_region`` may be a stored ``region_per_la(dim)`` (the build writes one next to
+    the marts) so the dimension is not re-aggregated per query.
+    """
+    lookup = region_per_la(dim) if la_region is None else la_region
+    return lookup_join(attendance, lookup, "la_code", "left")
 
 
-def insight_absence_by_region(attendance: DataFrame, dim: DataFrame, phase: str = "Secondary") -> DataFrame:
+def insight_absence_by_region(attendance: DataFrame, dim: DataFrame, phase: str = "Secondary",
+                              la_region: DataFrame | None = None) -> DataFrame:
     """Region, mean absence (2 places), number of LAs; highest absence first.
 
     The fact is folded to one row per LA (sum and count of the measure) before the
@@ -83,7 +91,7 @@ def insight_absence_by_region(attendance: DataFrame, dim: DataFrame, phase: str
     per_la = (attendance.where(F.col("phase") == phase)
               .groupBy("la_code")
               .agg(F.sum("pct_overall_absence").alias("abs_sum"), F.count("pct_overall_absence").alias("abs_n")))
-    j = per_la.join(region_per_la(dim), "la_code", "left")
+    j = per_la.join(region_per_la(dim) if la_region is None else la_region, "la_code", "left")
     return (j.groupBy(label_unmapped("region").alias("region"))
             .agg(F.round(F.try_divide(F.sum("abs_sum"), F.sum("abs_n")), 2).alias("mean_secondary_absence"),
                  F.count("la_code").alias("n_las"))

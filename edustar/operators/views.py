@@ -22,10 +22,13 @@ MEASURES = ("attainment8_score", "pct_grade5_eng_maths", "ebacc_aps")
 
 # -- attendance tab ------------------------------------------------------------------
 
-def attendance_enriched(attendance: DataFrame, dim: DataFrame) -> DataFrame:
-    """Every fact row with region (unmapped labelled) and period columns."""
+def attendance_enriched(attendance: DataFrame, dim: DataFrame, la_region: DataFrame | None = None) -> DataFrame:
+    """Every fact row with region (unmapped labelled) and period columns.
+
+    ``la_region``: an already stored ``region_per_la(dim)``, if there is one.
+    """
     f = attendance.select("la_code", "academic_year", "week_label", "phase", "pct_overall_absence")
-    j = lookup_join(f, region_per_la(dim), "la_code", "left")
+    j = lookup_join(f, region_per_la(dim) if la_region is None else la_region, "la_code", "left")
     wk = week_number("week_label")
     return j.select(
         "academic_year", "week_label", label_unmapped("region").alias("region"), "phase",
@@ -98,10 +101,14 @@ def filter_options(enriched: DataFrame) -> DataFrame:
 
 # -- attainment tab ---------------------------------------------------------------
 
-def schools_enriched(ks4: DataFrame, dim: DataFrame) -> DataFrame:
-    """Every result row named from the results data, region looked up by LA name."""
+def schools_enriched(ks4: DataFrame, dim: DataFrame, la_region_by_name: DataFrame | None = None) -> DataFrame:
+    """Every result row named from the results data, region looked up by LA name.
+
+    ``la_region_by_name``: an already stored ``region_per_la_name(dim)``, if there is one.
+    """
     f = ks4.select("urn", "school_name", "la_name", *MEASURES)
-    j = lookup_join(f, region_per_la_name(dim), "la_name", "left")
+    lookup = region_per_la_name(dim) if la_region_by_name is None else la_region_by_name
+    j = lookup_join(f, lookup, "la_name", "left")
     return j.select("urn", "school_name", "la_name", "region", *MEASURES)
 
 

@@ -255,7 +255,7 @@ def q_flag_secondary(spark, sf_dir):
     "FROM fct_attendance_weekly f LEFT JOIN la_region r ON r.la_code = f.la_code"))
 def q_label_unmapped(spark, sf_dir):
     wh = W(spark, sf_dir)
-    j = wh.attendance.select("la_code").distinct().join(I.region_per_la(wh.dim), "la_code", "left")
+    j = wh.attendance.select("la_code").distinct().join(wh.la_region, "la_code", "left")
     return j.select("la_code", F.coalesce("region", F.lit("(unmapped)")).alias("region"))
 
 
@@ -369,7 +369,7 @@ def q_filter_la_name(spark, sf_dir):
     "SELECT f.*, r.region FROM fct_attendance_weekly f LEFT JOIN la_region r ON r.la_code = f.la_code"))
 def q_join_attendance_region(spark, sf_dir):
     wh = W(spark, sf_dir)
-    return I.join_attendance_region(wh.attendance, wh.dim)
+    return I.join_attendance_region(wh.attendance, wh.dim, wh.la_region)
 
 
 @register("join_ks4_dim", O.sql(
@@ -445,7 +445,7 @@ def q_attainment_by_la(spark, sf_dir):
     "WHERE f.phase = 'Secondary' GROUP BY 1 ORDER BY 2 DESC NULLS LAST, 1"))
 def q_insight_absence_by_region(spark, sf_dir):
     wh = W(spark, sf_dir)
-    return I.insight_absence_by_region(wh.attendance, wh.dim)
+    return I.insight_absence_by_region(wh.attendance, wh.dim, la_region=wh.la_region)
 
 
 _QUARTILE_CTE = ("quartiled AS (SELECT la_code, avg_secondary_absence, avg_attainment8, "

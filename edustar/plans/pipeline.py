@@ -18,6 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from edustar.operators import insights as _ins
 from edustar.operators import marts as _marts
 from edustar.operators import staging as _stg
 from edustar.session import storage_root
@@ -67,6 +68,9 @@ class Warehouse:
     def mart_path(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
+    def lookup_path(self, name: str) -> str:
+        return f"{self.root}/lookups/{name}"
+
     # -- build ----------------------------------------------------------------
     def build(self, csv_files: dict[str, str] | None = None) -> "Warehouse":
         """Land each raw table and write the mart built from it.
@@ -98,6 +102,12 @@ class Warehouse:
             if self.partition_facts_by_year and mart.startswith("fct_"):
                 writer = writer.partitionBy("academic_year")
             writer.parquet(self.mart_path(mart))
+            if mart == "dim_school":
+                # the dimension collapsed to one region per LA (by code and by name): tiny,
+                # written with it so the queries do not re-aggregate the dimension each time
+                dim = self.spark.read.parquet(self.mart_path(mart))
+                _ins.region_per_la(dim).write.mode("overwrite").parquet(self.lookup_path("la_region"))
+                _ins.region_per_la_name(dim).write.mode("overwrite").parquet(self.lookup_path("la_region_by_name"))
 
         _run_together([lambda m=m: chain(m) for m in source])
         self.built = True
@@ -143,17 +153,27 @@ class Warehouse:
     def ks4(self) -> DataFrame:
         return self.mart("fct_ks4_results")
 
+    @property
+    def la_region(self) -> DataFrame:
+        """Stored ``region_per_la(dim)``: one region per LA code."""
+        return self._read(self.lookup_path("la_region"))
+
+    @property
+    def la_region_by_name(self) -> DataFrame:
+        """Stored ``region_per_la_name(dim)``: one region per LA name."""
+        return self._read(self.lookup_path("la_region_by_name"))
+
     @property
     def enriched(self) -> DataFrame:
         """Every attendance fact row with region and period columns (the dashboard's base view)."""
         from edustar.operators.views import attendance_enriched
-        return self._memo("enriched", lambda: attendance_enriched(self.attendance, self.dim))
+        return self._memo("enriched", lambda: attendance_enriched(self.attendance, self.dim, self.la_region))
 
     @property
     def schools(self) -> DataFrame:
         """Every KS4 result row named from the results, region looked up by LA name."""
         from edustar.operators.views import schools_enriched
-        return self._memo("schools", lambda: schools_enriched(self.ks4, self.dim))
+        return self._memo("schools", lambda: schools_enriched(self.ks4, self.dim, self.la_region_by_name))
 
     def register_views(self, staging: bool = True) -> None:
         """Marts (and the lazy staging views) under their bare names, for SQL text."""

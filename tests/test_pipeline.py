@@ -92,3 +92,9 @@ def test_year_partitioned_facts_give_the_same_answers(spark, wh, tmp_path):
     assert "PartitionFilters: [isnotnull(academic_year" in plan
     assert same(I.insight_absence_quartiles(wh.attendance, wh.ks4, wh.dim),
                 I.insight_absence_quartiles(part.attendance, part.ks4, part.dim))
+
+
+def test_stored_lookups_equal_computed(wh):
+    for stored, computed in ((wh.la_region, I.region_per_la(wh.dim)),
+                             (wh.la_region_by_name, I.region_per_la_name(wh.dim))):
+        assert stored.exceptAll(computed).count() == 0 and computed.exceptAll(stored).count() == 0
