@@ -85,3 +85,9 @@ def session_guard_dropped(raw_attendance: DataFrame, threshold: int = MIN_SESSIO
     """LA rows (Total dropped) that the session guard removes: under the threshold or unparsable."""
     df = filter_not_total(filter_la_rows(raw_attendance))
     return df.where(F.coalesce(try_int("possible_sessions") < threshold, F.lit(True)))
+
+
+def session_guard_under_threshold(raw_attendance: DataFrame, threshold: int = MIN_SESSIONS) -> DataFrame:
+    """LA rows (Total dropped) with a session count under the threshold; suppressed counts not included."""
+    df = filter_not_total(filter_la_rows(raw_attendance))
+    return df.where(try_int("possible_sessions") < threshold)

@@ -310,6 +310,13 @@ def q_session_guard_dropped(spark, sf_dir):
     return ST.session_guard_dropped(W(spark, sf_dir).raw("raw_attendance"))
 
 
+@register("session_guard_under_threshold", O.sql(
+    "SELECT * FROM raw_attendance WHERE geographic_level = 'Local authority' AND school_type <> 'Total' "
+    "AND TRY_CAST(possible_sessions AS INTEGER) < 1000"))
+def q_session_guard_under_threshold(spark, sf_dir):
+    return ST.session_guard_under_threshold(W(spark, sf_dir).raw("raw_attendance"))
+
+
 @register("filter_headline_rows", O.sql("SELECT * FROM raw_ks4 WHERE breakdown_topic = 'Total'"))
 def q_filter_headline_rows(spark, sf_dir):
     return ST.filter_headline_rows(W(spark, sf_dir).raw("raw_ks4"))

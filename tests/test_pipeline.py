@@ -98,3 +98,10 @@ def test_stored_lookups_equal_computed(wh):
     for stored, computed in ((wh.la_region, I.region_per_la(wh.dim)),
                              (wh.la_region_by_name, I.region_per_la_name(wh.dim))):
         assert stored.exceptAll(computed).count() == 0 and computed.exceptAll(stored).count() == 0
+
+
+def test_session_guard_counts(spark):
+    from edustar.plans.catalog import QUERIES
+    from tests.conftest import SF01
+    assert QUERIES["session_guard_under_threshold"](spark, SF01).count() == 3827
+    assert QUERIES["session_guard_dropped"](spark, SF01).count() >= 3827
