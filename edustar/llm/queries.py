@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edustar.llm import fingerprint, html_text, packing, quality, secret_scan, token_attribution, toxicity
+from edustar.llm import fingerprint, html_text, packing, pq_dedup, quality, secret_scan, token_attribution, toxicity
 from edustar.llm.store import importable_by_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,5 +63,24 @@ def op7_html_text(spark, sf_dir):
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+@query
+def op9_pq_dedup(spark, sf_dir):
+    return pq_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op9_pq_dedup": """
+WITH RECURSIVE
+  v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+  link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+           ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9),
+  reach(node, seen) AS (
+    SELECT vec_id, vec_id FROM v
+    UNION
+    SELECT link.b, reach.seen FROM reach JOIN link ON link.a = reach.node),
+  comp AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.vec_id) AS n_links, comp.component_id, v.vec_id = comp.component_id AS kept
+FROM v JOIN comp ON comp.node = v.vec_id
+""",
+}
