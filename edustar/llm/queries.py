@@ -8,7 +8,8 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edustar.llm import fingerprint, html_text, packing, pq_dedup, quality, secret_scan, token_attribution, toxicity
+import corpus_pipeline
+from edustar.llm import fingerprint, html_text, order_minhash, packing, pq_dedup, quality, secret_scan, token_attribution, toxicity
 from edustar.llm.store import importable_by_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +69,16 @@ def op9_pq_dedup(spark, sf_dir):
     return pq_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op10_order_minhash(spark, sf_dir):
+    return order_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force in tests/llm.
 ORACLE: dict[str, str] = {
     "op9_pq_dedup": """
