@@ -162,7 +162,7 @@ def edit_likeness(docs: DataFrame, k: int = K) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts, nexts = b["text"].tolist(), b["next_text"].tolist()
-            for part in words.slices(texts, 2 << 20):
+            for part in words.slices(texts, 1 << 20):
                 t, nx = texts[part], nexts[part]
                 e = [edited(x, y) for x, y in zip(t, nx)]
                 own, ed = sketches(t, k), sketches(e, k)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from edustar.llm import fingerprint, html_text, order_minhash, packing, pq_dedup, quality, secret_scan, token_attribution, toxicity
+from edustar.llm import fingerprint, html_text, order_minhash, packing, piece_sampling, pq_dedup, quality, secret_scan, token_attribution, toxicity
 from edustar.llm.store import importable_by_workers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,11 @@ def op7_html_text(spark, sf_dir):
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
 
+@query
+def op8_piece_sampling(spark, sf_dir):
+    return piece_sampling.segmentations(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+
+
 @query
 def op9_pq_dedup(spark, sf_dir):
     return pq_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))

@@ -117,7 +117,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.nda
     return mix(out), out_first
 
 
-def slices(texts: Sequence[str | None], limit: int = 4 << 20) -> Iterator[slice]:
+def slices(texts: Sequence[str | None], limit: int = 1 << 20) -> Iterator[slice]:
     """Consecutive slices of a batch that hold about ``limit`` characters each (at least one text)."""
     at = total = 0
     for i, t in enumerate(texts):
