@@ -2,8 +2,10 @@
 
 A page is cut into blocks at block-level tags. Pass one decides blocks: parts of menus, headers, footers,
 side bars, notices, adverts, forms, scripts, styles and reader comments (by element, or by words of class, id or role) are
-boilerplate; of the others, many links or a copyright sign make boilerplate, and enough text with enough stop words makes content; short blocks stay undecided. Pass two lets each undecided block inherit the label of its nearest decided
-neighbours: alike ones give theirs, unlike ones give the nearer one's, and on a tie content if the block lies in an article.
+boilerplate; of the others, many links or a copyright sign make boilerplate, and enough text with enough
+stop words makes content; short blocks stay undecided. Pass two lets each undecided block inherit the label
+of its nearest decided neighbours: alike ones give theirs, unlike ones give the nearer one's, and on a tie
+content if the block lies in an article.
 
 Character references are decoded, white space inside a block (line-break elements count as such) becomes one
 space, blocks are trimmed and joined in page order by one space. Nothing else is dropped or cut.
@@ -35,6 +37,7 @@ BLOCKS = frozenset(
 SPACES = frozenset("br wbr img input".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas select button".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog head".split())
+LINES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figcaption caption option".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Fixed list: words of class, id or role that name boilerplate.
 NAMES = frozenset(
@@ -58,6 +61,7 @@ class Block:
     tag: str
     inside: bool  # in an article or main element
     named: bool  # in boilerplate by element or name
+    box: int  # number of the innermost container
 
 
 def _names_boilerplate(attributes: str) -> bool:
@@ -78,16 +82,16 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     pieces: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool]] = []  # (element, boilerplate, inside an article)
-    links = 0
+    stack: list[tuple[str, bool, bool, int]] = []  # (element, boilerplate, inside an article, container)
+    links = boxes = 0
 
     def close_block() -> None:
         nonlocal linked
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                tag, named, inside = stack[-1] if stack else ("", False, False)
-                out.append(Block(text, min(linked, len(text)), tag, inside, named))
+                tag, named, inside, box = stack[-1] if stack else ("", False, False, 0)
+                out.append(Block(text, min(linked, len(text)), tag, inside, named, box))
             pieces.clear()
         linked = 0
 
@@ -131,16 +135,19 @@ def blocks(page: str) -> list[Block]:
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                 _close_open(stack, name)
             if name not in VOID:
-                _, bad, inside = stack[-1] if stack else ("", False, False)
+                _, bad, inside, box = stack[-1] if stack else ("", False, False, 0)
+                if name not in LINES:
+                    boxes += 1
+                    box = boxes
                 article = inside or name in ("article", "main")
                 named = name in BOILERPLATE or name == "header" and not inside
                 named = named or name not in ("body", "html", "article", "main") and bool(attributes) and _names_boilerplate(attributes)
-                stack.append((name, bad or named, article))
+                stack.append((name, bad or named, article, box))
     close_block()
     return out
 
 
-def _close_open(stack: list[tuple[str, bool, bool]], name: str) -> None:
+def _close_open(stack: list[tuple[str, bool, bool, int]], name: str) -> None:
     """A new paragraph, list item or cell closes an open one of its kind in the same container."""
     for i in range(len(stack) - 1, -1, -1):
         if stack[i][0] == name:
@@ -164,34 +171,41 @@ def decide(b: Block) -> str:
 
 
 def classify(page_blocks: list[Block]) -> list[bool]:
-    """Both passes: whether each block is content."""
+    """Both passes: whether each block is content. A block's neighbours are looked for in its own container
+    first, then in the article, if it is in one, then on the page."""
     labels = [decide(b) for b in page_blocks]
-    n = len(labels)
-    before: list[tuple[int, str] | None] = []
-    last = None
-    for i, x in enumerate(labels):
-        before.append(last)
+    left, right = _nearest(page_blocks, labels, range(len(labels))), _nearest(page_blocks, labels, range(len(labels) - 1, -1, -1))
+    out = []
+    for i, (b, x) in enumerate(zip(page_blocks, labels)):
         if x != SHORT:
-            last = (i, x)
-    out, last = [False] * n, None
-    for i in range(n - 1, -1, -1):
-        b, x = page_blocks[i], labels[i]
-        if x != SHORT:
-            out[i], last = x == CONTENT, (i, x)
+            out.append(x == CONTENT)
             continue
-        left, right = before[i], last
-        if b.inside:  # boilerplate outside the article says nothing about a block inside it
-            left = left if left and page_blocks[left[0]].inside else None
-            right = right if right and page_blocks[right[0]].inside else None
-        if left is None and right is None:
-            out[i] = b.inside
-        elif left is None or right is None:
-            out[i] = (left or right)[1] == CONTENT
-        elif left[1] == right[1]:
-            out[i] = left[1] == CONTENT
+        for l, r in zip(left[i], right[i]):  # noqa: E741
+            if l is not None or r is not None:
+                break
+        if l is None and r is None:
+            out.append(b.inside)
+        elif l is None or r is None or labels[l] == labels[r]:
+            out.append(labels[r if l is None else l] == CONTENT)
+        elif i - l == r - i:
+            out.append(b.inside)
         else:
-            near, far = i - left[0], right[0] - i
-            out[i] = b.inside if near == far else (left if near < far else right)[1] == CONTENT
+            out.append(labels[l if i - l < r - i else r] == CONTENT)
+    return out
+
+
+def _nearest(page_blocks: list[Block], labels: list[str], order: range) -> list[tuple[int | None, int | None, int | None]]:
+    """For each block the last decided one met in the given order: in its container, in an article, anywhere (for
+    a block in an article: in an article again)."""
+    out: list[tuple[int | None, int | None, int | None]] = [(None, None, None)] * len(labels)
+    box: dict[int, int] = {}
+    inside = anywhere = None
+    for i in order:
+        b = page_blocks[i]
+        out[i] = (box.get(b.box), inside, inside) if b.inside else (box.get(b.box), None, anywhere)
+        if labels[i] != SHORT:
+            box[b.box], anywhere = i, i
+            inside = i if b.inside else inside
     return out
 
 
