@@ -18,8 +18,11 @@ def _col(c) -> Column:
 
 
 def strict_int(c) -> Column:
-    """Text -> int; raises CAST_INVALID_INPUT on bad text (ANSI casts)."""
-    return _col(c).cast("int")
+    """Text -> int; bad text raises, whether the session casts by ANSI rules or not."""
+    col = _col(c)
+    value = col.try_cast("int")
+    bad = F.concat(F.lit("CAST_INVALID_INPUT: not an integer: "), col)
+    return F.when(col.isNotNull() & value.isNull(), F.raise_error(bad).cast("int")).otherwise(value)
 
 
 def try_int(c) -> Column:

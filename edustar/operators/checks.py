@@ -56,11 +56,19 @@ def accepted_values_failures(df: DataFrame, column: str, values: Sequence[str])
     return df.where(~F.col(column).isin(list(values)))
 
 
-def relationships_failures(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child rows whose key has no parent row; NULL child keys are not checked."""
-    keys = parent.select(F.col(field).alias(column)).where(F.col(column).isNotNull()).distinct()
+def relationships_failures(child: DataFrame, column: str, parent: DataFrame, field: str,
+                           few_keys: bool = False) -> DataFrame:
+    """Child rows whose key has no parent row; NULL child keys are not checked.
+
+    A plain anti join: both sides are plain shuffles, so the adaptive skew join can split a hot child key, and
+    the parent needs no ``distinct``. ``few_keys`` is for a parent that folds to few keys by its nature (LA
+    codes): the distinct keys are then salted, 32 copies of that short list.
+    """
+    keys = parent.select(F.col(field).alias(column)).where(F.col(column).isNotNull())
     c = child.where(F.col(column).isNotNull())
-    return lookup_join(c, keys, column, "left_anti")
+    if few_keys:
+        return lookup_join(c, keys.distinct(), column, "left_anti")
+    return c.join(keys, column, "left_anti")
 
 
 def range_failures(df: DataFrame, column: str, lo: float, hi: float) -> DataFrame:
@@ -88,8 +96,8 @@ def dq_accepted_values(df: DataFrame, model: str, column: str, values: Sequence[
 
 
 def dq_relationships(child: DataFrame, model: str, column: str, parent: DataFrame, field: str,
-                     severity: str = "warn") -> DataFrame:
-    counted = relationships_failures(child, column, parent, field).agg(F.count(F.lit(1)).alias("failures"))
+                     severity: str = "warn", few_keys: bool = False) -> DataFrame:
+    counted = relationships_failures(child, column, parent, field, few_keys).agg(F.count(F.lit(1)).alias("failures"))
     return _summary(counted, model, "relationships", severity, column)
 
 
@@ -149,7 +157,7 @@ def accepted_values_checks(t) -> DataFrame:
 def relationship_checks(t) -> DataFrame:
     """The two warn-level referential checks into the dimension."""
     return _union([
-        dq_relationships(t["fct_attendance_weekly"], "fct_attendance_weekly", "la_code", t["dim_school"], "la_code"),
+        dq_relationships(t["fct_attendance_weekly"], "fct_attendance_weekly", "la_code", t["dim_school"], "la_code", few_keys=True),
         dq_relationships(t["fct_ks4_results"], "fct_ks4_results", "urn", t["dim_school"], "urn"),
     ])
 

@@ -77,24 +77,29 @@ def absence_rank(view: DataFrame) -> DataFrame:
 
 
 def attendance_headline(view: DataFrame) -> DataFrame:
-    """Mean absence (NULL on an empty view), regions shown, weeks of data."""
-    return view.agg(F.avg("pct_overall_absence").alias("mean_absence"),
-                    F.count_distinct("region").alias("n_regions"),
-                    F.count_distinct("period_idx").alias("n_periods"))
+    """Mean absence (NULL on an empty view), regions shown, weeks of data.
+
+    Facts fold to one row per region and period first; the distinct counts run over those few rows.
+    """
+    cells = view.groupBy("region", "period_idx").agg(
+        F.sum("pct_overall_absence").alias("total"), F.count("pct_overall_absence").alias("n"))
+    return cells.agg(F.try_divide(F.sum("total"), F.sum("n")).alias("mean_absence"),
+                     F.count_distinct("region").alias("n_regions"),
+                     F.count_distinct("period_idx").alias("n_periods"))
 
 
 def filter_options(enriched: DataFrame) -> DataFrame:
     """Choices of the three filters as ``(kind, value)`` rows, each sorted distinct.
 
-    One scan: each row contributes its three (kind, value) pairs, then a single
-    distinct (partial aggregation map-side) and a sort of the few choices.
+    One scan: rows fold to the distinct (region, year, phase) first (map-side), and only
+    those few unfold into their three (kind, value) pairs.
     """
     pairs = F.array(
         F.struct(F.lit("region").alias("kind"), F.col("region").alias("value")),
         F.struct(F.lit("year").alias("kind"), F.col("year_label").alias("value")),
         F.struct(F.lit("phase").alias("kind"), F.col("phase").alias("value")),
     )
-    out = enriched.select(F.inline(pairs))
+    out = enriched.select("region", "year_label", "phase").distinct().select(F.inline(pairs))
     out = out.where(~((F.col("kind") == "region") & (F.col("value") == UNMAPPED_REGION)))
     return out.distinct().orderBy("kind", "value")
 

@@ -399,7 +399,7 @@ def q_la_cross(spark, sf_dir):
     "(SELECT 1 FROM dim_school d WHERE d.la_code = f.la_code)"))
 def q_anti_attendance_la(spark, sf_dir):
     wh = W(spark, sf_dir)
-    return C.relationships_failures(wh.attendance, "la_code", wh.dim, "la_code")
+    return C.relationships_failures(wh.attendance, "la_code", wh.dim, "la_code", few_keys=True)
 
 
 @register("anti_ks4_urn", O.sql(
@@ -646,11 +646,12 @@ def q_screen_queries(spark, sf_dir):
 
 @register(["screen_rules", "screen_select_only", "screen_single_statement", "screen_keywords", "screen_schemas",
            "screen_limit"], O.sql(
-    "SELECT conv_id, turn, select_only, single_statement, no_keywords, no_schemas, has_limit FROM rules",
+    "SELECT conv_id, turn, role, select_only, single_statement, no_keywords, no_schemas, has_limit, "
+    "CASE WHEN has_limit THEN sql ELSE sql || chr(10) || 'limit 1000' END AS sql_capped FROM rules",
     O.SCREEN_CTES))
 def q_screen_rules(spark, sf_dir):
     t = S.conversation_queries(read_table(spark, sf_dir, "conversations"))
-    return t.select("conv_id", "turn",
+    return t.select("conv_id", "turn", "role", S.screen_limit("sql").alias("sql_capped"),
                     S.screen_select_only("sql").alias("select_only"),
                     S.screen_single_statement("sql").alias("single_statement"),
                     S.screen_keywords("sql").alias("no_keywords"),
@@ -658,6 +659,11 @@ def q_screen_rules(spark, sf_dir):
                     S.has_limit("sql").alias("has_limit"))
 
 
+@register("clean_answer", O.sql("SELECT conv_id, turn, role, sql FROM texts", O.SCREEN_CTES))
+def q_clean_answer(spark, sf_dir):
+    return S.conversation_queries(read_table(spark, sf_dir, "conversations")).select("conv_id", "turn", "role", "sql")
+
+
 @register("screen_verdict_counts", O.sql(
     f"SELECT rule, {_MESSAGE_CASE} AS message, count(*) AS n_queries FROM verdicts GROUP BY rule", O.SCREEN_CTES))
 def q_screen_verdict_counts(spark, sf_dir):

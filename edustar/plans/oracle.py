@@ -223,11 +223,6 @@ def sql(body: str, extra_ctes: str = "") -> str:
     return PRELUDE + ("," + extra_ctes if extra_ctes else "") + "\n" + body
 
 
-def over_marts(body: str, extra_ctes: str = "") -> str:
-    """The same query over mart *tables* (no raw chain): the serving-side form."""
-    return "WITH" + SHARED + ("," + extra_ctes if extra_ctes else "") + "\n" + body
-
-
 def materialise_marts_sql() -> list[str]:
     """Statements that land raw tables, define staging views and build mart tables in DuckDB."""
     out = [f"CREATE OR REPLACE TABLE {t} AS WITH{RAW}\nSELECT * FROM {t}"
@@ -296,15 +291,29 @@ _NW = f"[^{WORD_CHAR}]"
 KEYWORD_RE = "(?i)(^|" + _NW + ")(" + "|".join(FORBIDDEN_WORDS) + ")($|" + _NW + ")"
 SCHEMA_RE = "(?i)(^|" + _NW + ")(" + "|".join(FORBIDDEN_SCHEMAS) + ")[" + SPACE_CLASS + r"]*\."
 LIMIT_RE = "(?i)(^|" + _NW + ")limit($|" + _NW + ")"
+FENCE_OPEN_RE = r"(?i)\A```(?:sql)?[" + SPACE_CLASS + "]*"
+FENCE_CLOSE_RE = "[" + SPACE_CLASS + r"]*```\z"
 TRIM_RE = r"\A[" + SPACE_CLASS + r"]+|[" + SPACE_CLASS + r"]+\z"
 
 SCREEN_CTES = f"""
 texts AS (
-  SELECT conv_id, turn, text AS sql, regexp_replace(coalesce(text, ''), {q(TRIM_RE)}, '', 'g') AS stripped
-  FROM conversations WHERE role = 'assistant'
+  SELECT conv_id, turn, role, sql, sql AS stripped FROM (
+    SELECT conv_id, turn, role, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+      answer, {q(TRIM_RE)}, '', 'g'), {q(FENCE_OPEN_RE)}, ''), {q(FENCE_CLOSE_RE)}, ''), {q(TRIM_RE)}, '', 'g'), ';+\\z', ''), {q(TRIM_RE)}, '', 'g') AS sql
+    FROM (
+      SELECT conv_id, turn, role, CASE (conv_id + turn) % 8
+        WHEN 1 THEN 'select ''' || t || ''' as t from dim_school'
+        WHEN 2 THEN 'select 1; select ''' || t || ''' as t'
+        WHEN 3 THEN 'with t as (select ''' || t || ''' as x) select * from t -- drop'
+        WHEN 4 THEN 'select ''' || t || ''' as t from raw.gias'
+        WHEN 5 THEN '```sql' || chr(10) || 'select ''' || t || ''' as t' || chr(10) || '```'
+        WHEN 6 THEN 'select ''' || t || ''' as t from dim_school limit 5'
+        WHEN 7 THEN '  WITH t AS (select ''' || t || ''' AS x) SELECT * FROM t;  '
+        ELSE coalesce(text, '') END AS answer
+      FROM (SELECT *, replace(coalesce(text, ''), '''', '''''') AS t FROM conversations)))
 ),
 rules AS (
-  SELECT conv_id, turn, sql,
+  SELECT conv_id, turn, role, sql,
          (starts_with(lower(stripped), 'select') OR starts_with(lower(stripped), 'with')) AS select_only,
          NOT contains(regexp_replace(stripped, ';+\\z', ''), ';') AS single_statement,
          NOT regexp_matches(coalesce(sql, ''), {q(KEYWORD_RE)}) AS no_keywords,

@@ -4,7 +4,6 @@ Everything in the "fixed values" block must equal the values of the original
 pipeline for results to agree; it is stated here once, as plain text.
 """
 
-from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # Fixed values (must match the original pipeline)
@@ -37,13 +36,8 @@ ATTENDANCE_PHASES = ("Primary", "Secondary", "Special")
 SECONDARY_PHASES = ("Secondary", "All-through")
 
 # The nine English regions named in the query guidance.
-REGIONS = (
-    "North East", "North West", "Yorkshire and the Humber", "East Midlands",
-    "West Midlands", "East of England", "London", "South East", "South West",
-)
 
 # Suppression markers of the statistics releases.
-SUPPRESSION_MARKERS = ("c", "x", "z", "low")
 
 # Label for facts whose LA has no region in the dimension.
 UNMAPPED_REGION = "(unmapped)"
@@ -104,26 +98,3 @@ WORD_CHAR = r"\p{L}\p{N}_"
 
 # Whitespace as Python's str.strip() sees it.
 SPACE_CLASS = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-
-# ---------------------------------------------------------------------------
-# Schemas
-# ---------------------------------------------------------------------------
-
-
-def _text(*names):
-    return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
-
-
-RAW_GIAS = _text(*REGISTER_COLUMNS.values())
-RAW_ATTENDANCE = _text(
-    "time_period", "time_identifier", "geographic_level", "old_la_code", "new_la_code",
-    "la_name", "school_type", "possible_sessions", "overall_absence_perc",
-    "authorised_absence_perc", "unauthorised_absence_perc", "attendance_perc",
-)
-RAW_KS4 = _text(
-    "school_urn", "school_name", "la_name", "time_period", "breakdown_topic", "breakdown",
-    "attainment8_average", "gcse_five_engmath_percent", "ebacc_aps_average",
-)
-
-MART_NAMES = ("dim_school", "fct_attendance_weekly", "fct_ks4_results")
-RAW_NAMES = ("raw_gias", "raw_attendance", "raw_ks4")

@@ -3,29 +3,33 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def get_session(cpus: int | None = None, master: str | None = None, app: str = "edustar") -> SparkSession:
     """A session tuned for the local tests and the benchmark.
 
-    On a cluster, pass ``master=None`` and let spark-submit decide; the settings
-    below are the ones that matter at any size: AQE (coalescing, skew-join split,
-    runtime broadcast by measured size), UTC, and no UI server.
+    A master is set only when ``master`` or ``cpus`` is given and none is set already (by
+    spark-submit or the environment); shuffle partitions are set for a local master only. The other
+    settings matter at any size: AQE (coalescing, skew-join split, runtime broadcast by
+    measured size), UTC, and no UI server.
     """
-    cpus = int(cpus or os.environ.get("BENCH_CPUS", 8))
-    master = master or f"local[{cpus}]"
+    given = SparkConf().get("spark.master", os.environ.get("MASTER"))
+    master = master or given or f"local[{int(cpus or os.environ.get('BENCH_CPUS', 8))}]"
     b = SparkSession.builder.appName(app).master(master)
-    if master.startswith("local"):
+    if master.startswith("local") and "-cluster" not in master:
+        cores = re.search(r"\[(\d+)", master)
+        b = b.config("spark.sql.shuffle.partitions", cores[1] if cores else str(os.cpu_count()))
         # One machine: aim AQE's coalesced partitions at 8 MB, so a stage of a few
         # tens of MB still spreads over the cores. On a cluster keep Spark's 64 MB.
         b = b.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(8 << 20))
     return (
         b.config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         # Coalesce small shuffle partitions up to the advisory size instead of keeping

@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from edustar.schema import NULL_TOKENS, REGISTER_COLUMNS
 
+_HEADER_PART = re.compile("[a-z0-9]+")
 _BOMS = ("\ufeff", "\u00ef\u00bb\u00bf")  # the BOM decoded as UTF-8, and as Latin-1
 
 
 def sanitise_name(name: str) -> str:
-    """Header -> lowercase snake_case: runs of anything but [0-9a-z] become '_', trimmed."""
-    return re.sub(r"[^0-9a-z]+", "_", name.strip().lower()).strip("_")
+    """Header -> lowercase snake_case: its runs of ASCII letters and digits, joined by one ``_``."""
+    return "_".join(_HEADER_PART.findall(name.lower()))
 
 
 def strip_bom(name: str) -> str:
@@ -55,11 +56,10 @@ def sanitise_headers(df: DataFrame) -> DataFrame:
 
 
 def require_columns(df: DataFrame, expected: Iterable[str]) -> DataFrame:
-    """Raise before any job when an expected column is missing; names the missing ones."""
-    have = {strip_bom(c) for c in df.columns}
-    missing = [c for c in expected if c not in have]
-    if missing:
-        raise ValueError(f"missing expected columns {missing}; got {df.columns[:40]}")
+    """Raise before any job when the input lacks a column; every lacking one is named."""
+    lacking = sorted(set(expected) - set(map(strip_bom, df.columns)))
+    if lacking:
+        raise ValueError("input lacks the column(s) " + ", ".join(map(repr, lacking)))
     return df
 
 
@@ -77,33 +77,31 @@ def na_tokens_to_null(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS) -> Dat
     ])
 
 
-def _reader(spark: SparkSession, encoding: str, multi_line: bool = True):
+def _reader(spark: SparkSession, encoding: str, multi_line: bool = False):
     return (spark.read.option("header", True).option("encoding", encoding)
             .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
-            .option("mode", "FAILFAST").option("inferSchema", False))
+            .option("mode", "FAILFAST").option("inferSchema", False)
+            # every record is parsed whole, so one that is cut or too short always aborts the read
+            .option("columnPruning", False))
 
 
-def read_register_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_register_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """School register CSV (Latin-1) -> the 7 landed columns, all text.
 
-    ``multi_line=False`` lets Spark split one large file across tasks; use it only for
-    files known to have no newline inside a quoted field.
+    By default Spark splits one large file across tasks, and a record with a newline inside a quoted
+    field aborts the read (FAILFAST); ``multi_line=True`` reads such files, one task a file.
     """
     df = _reader(spark, "ISO-8859-1", multi_line).csv(path)
     require_columns(df, REGISTER_COLUMNS)
     return na_tokens_to_null(rename_map(df, REGISTER_COLUMNS))
 
 
-def read_ees_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_ees_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Statistics CSV (UTF-8) -> every column, all text, headers sanitised (see ``multi_line`` above)."""
     df = _reader(spark, "UTF-8", multi_line).csv(path)
     return na_tokens_to_null(sanitise_headers(df))
 
 
-def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def land_raw(df: DataFrame, path: str, count: bool = True) -> int | None:
     """Replace the raw table at ``path`` in full; return its row count when asked."""
     sanitise_headers(df).write.mode("overwrite").parquet(path)
