@@ -39,7 +39,7 @@ from edustar.llm import words
 SAMPLES = 2
 TEMPERATURE = 1.0
 #: Arcs of distinct words kept in a worker before the store is begun anew.
-ARCS = 6_000_000
+ARCS = 12_000_000
 BLANK = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOADED: dict[tuple, "Lattice"] = {}
@@ -90,11 +90,26 @@ class Lattice:
         self.marks: dict[str, int] = {}
 
     def units(self, text: str) -> list[str]:
-        s = text.replace(" ", BLANK)
-        return self.cut(BLANK + s if self.dummy_prefix and s else s)
+        if BLANK in text or "  " in text or not text or not self.dummy_prefix:
+            s = text.replace(" ", BLANK)
+            return self.cut(BLANK + s if self.dummy_prefix and s else s)
+        out: list[str] = []
+        for i, line in enumerate(text.split("\n")):  # single blanks: every word but a later line's first has one before it
+            if i:
+                out.append("\n")
+            found = line.split(" ")
+            if found[-1] == "" or found[0] == "":  # a blank beside the line's end
+                out += self.cut((BLANK if not i else "") + line.replace(" ", BLANK))
+            else:
+                if not i:
+                    out.append(BLANK + found[0])
+                elif found[0]:
+                    out.append(found[0])
+                out += [BLANK + w for w in found[1:]]
+        return out
 
     def learn(self, units: set[str]) -> None:
-        if len(self.arc_p) > ARCS:
+        if len(self.arc_p) > ARCS:  # only here, so a batch's words stay while it is worked on
             self._empty()
         new = [u for u in units if u not in self.words]
         if new:
@@ -152,7 +167,8 @@ class Lattice:
         pos, size, piece, weight = map(np.concatenate, (pos, size, piece, weight))
 
         # backward sums, all positions at one distance from their word's end together
-        order = np.lexsort((pos, left[pos]))
+        step = self.longest + 1
+        order = np.argsort((left[pos] * len(letters) + pos) * step + size)  # unique keys: one order whatever the sort
         pos, size, piece, weight = pos[order], size[order], piece[order], weight[order]
         back = np.zeros(len(letters) + 1)
         far = left[pos]
@@ -167,7 +183,7 @@ class Lattice:
             back[pos[x:y][first]] = top + np.log(np.add.reduceat(np.exp(value[x:y] - np.repeat(top, n)), first))
 
         p = np.exp(value - back[pos])
-        order = np.lexsort((-p, pos))
+        order = np.argsort((pos * (1 << 20) + ((1.0 - p) * ((1 << 20) - 1)).astype(np.int64)) * step + size)
         pos, size, piece, p = pos[order], size[order], piece[order], p[order]
         first = np.flatnonzero(np.diff(pos, prepend=-1))
         n = np.diff(np.append(first, len(pos)))
@@ -190,15 +206,15 @@ class Lattice:
             self.marks[c] = -len(self.fallback)
         return self.marks[c], len(self.fallback[-1 - self.marks[c]])
 
-    def ids(self, path: np.ndarray) -> list[int]:
+    def ids(self, path: np.ndarray) -> np.ndarray:
         """Piece ids of a path of arcs."""
-        piece = np.frombuffer(self.arc_piece, np.int32)[path].tolist()
-        if piece and min(piece) < 0:
-            return [i for p in piece for i in ((p,) if p >= 0 else self.fallback[-1 - p])]
+        piece = np.frombuffer(self.arc_piece, np.int32)[path]
+        if len(piece) and piece.min() < 0:
+            return np.array([i for p in piece.tolist() for i in ((p,) if p >= 0 else self.fallback[-1 - p])], np.int32)
         return piece
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join([self.text[i] for i in ids]).decode("utf-8", "replace").replace(BLANK, " ")
+    def decode(self, ids: np.ndarray) -> str:
+        text = b"".join(map(self.text.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(BLANK, " ")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
@@ -261,9 +277,7 @@ class _Walk:
 def sample_texts(lattice: Lattice, texts: list[str], seeds: np.ndarray, k: int = SAMPLES) -> list[tuple[list[_Walk], float]]:
     """For each text its k samples (fewer if there are not as many) and kappa."""
     units = [lattice.units(t) for t in texts]
-    lattice.learn({u for us in units for u in us})
-    if any(u not in lattice.words for us in units for u in us):
-        raise AssertionError("a batch holds more words than the store")
+    lattice.learn(set().union(*units))
     starts = [np.fromiter(map(lattice.words.__getitem__, us), np.int64, len(us)) for us in units]
     arc_p, nxt, first = (np.frombuffer(x, t) for x, t in ((lattice.arc_p, np.float64), (lattice.arc_next, np.int32), (lattice.node_first, np.int64)))
     n_arcs = len(arc_p)
@@ -344,8 +358,8 @@ def segmentations(docs: DataFrame, model_file: str, k: int = SAMPLES, temperatur
                     for i, w in enumerate(walks):
                         ids = lattice.ids(w.arcs)
                         row = (doc_id, i, len(ids), w.log_prob, w.value, log_inclusion(w.log_prob, kappa),
-                               zlib.crc32(np.array(ids, "<u4").tobytes()), lattice.decode(ids) == text.replace(BLANK, " "))
-                        out.append((*row, ids) if with_ids else row)
+                               zlib.crc32(ids.astype("<u4").tobytes()), lattice.decode(ids) == text.replace(BLANK, " "))
+                        out.append((*row, ids.tolist()) if with_ids else row)
                 got = pd.DataFrame(out, columns=columns)
                 yield got.assign(doc_id=got["doc_id"].astype("Int64"))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, schema + ", ids array<int>" * with_ids)
