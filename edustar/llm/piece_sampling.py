@@ -209,9 +209,13 @@ class Lattice:
     def ids(self, path: np.ndarray) -> np.ndarray:
         """Piece ids of a path of arcs."""
         piece = np.frombuffer(self.arc_piece, np.int32)[path]
-        if len(piece) and piece.min() < 0:
-            return np.array([i for p in piece.tolist() for i in ((p,) if p >= 0 else self.fallback[-1 - p])], np.int32)
-        return piece
+        marks = np.flatnonzero(piece < 0)
+        spelled = [self.fallback[-1 - p] for p in piece[marks].tolist()]
+        if all(len(x) == 1 for x in spelled):
+            piece[marks] = [x[0] for x in spelled]
+            return piece
+        return np.concatenate([y for x, i in zip(np.split(piece, marks), [None, *spelled]) for y in (
+            (x,) if i is None else (np.array(i, np.int32), x[1:]))])
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.text.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(BLANK, " ")
