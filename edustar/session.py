@@ -6,22 +6,24 @@ import os
 import re
 import tempfile
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
 def get_session(cpus: int | None = None, master: str | None = None, app: str = "edustar") -> SparkSession:
     """A session tuned for the local tests and the benchmark.
 
-    A master is set only when ``master`` or ``cpus`` is given and none is set already (by
-    spark-submit or the environment); shuffle partitions are set for a local master only. The other
+    Without ``master``, the one that spark-submit (or PYSPARK_SUBMIT_ARGS) names is kept, and a local one with
+    ``cpus`` threads is set only where none is named; shuffle partitions are set for such a local master only. The other
     settings matter at any size: AQE (coalescing, skew-join split, runtime broadcast by
     measured size), UTC, and no UI server.
     """
-    given = SparkConf().get("spark.master", os.environ.get("MASTER"))
-    master = master or given or f"local[{int(cpus or os.environ.get('BENCH_CPUS', 8))}]"
-    b = SparkSession.builder.appName(app).master(master)
-    if master.startswith("local") and "-cluster" not in master:
+    preset = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+    if master is None and not preset:
+        master = f"local[{int(cpus or os.environ.get('BENCH_CPUS', 8))}]"
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master)
+    if master and re.match(r"local(\[|$)", master):
         cores = re.search(r"\[(\d+)", master)
         b = b.config("spark.sql.shuffle.partitions", cores[1] if cores else str(os.cpu_count()))
         # One machine: aim AQE's coalesced partitions at 8 MB, so a stage of a few
