@@ -140,7 +140,12 @@ class Warehouse:
         return df
 
     def mart(self, name: str) -> DataFrame:
-        return self._read(self.mart_path(name))
+        """The stored mart, columns in the mart's own order (a partition column is read back last)."""
+        df = self._read(self.mart_path(name))
+        if self.partition_facts_by_year and name.startswith("fct_"):
+            stg_name, fn = _marts.MART_BUILDERS[name]
+            return df.select(*fn(self.staging(stg_name)).columns)
+        return df
 
     @property
     def dim(self) -> DataFrame:
