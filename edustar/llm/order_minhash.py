@@ -11,9 +11,10 @@ signature is sensitive to what a text holds and in which order.
    are aligned once. Linked classes join into components.
 3. Members that are not in their pivot's component are still to be compared with each other and, where the
    triangle inequality allows a link to one of the pivot's partners, with the whole bucket. This is done in
-   blocks of BLOCK members, two blocks at a time, within a task; a pair already joined is skipped, and so is
-   one that lengths, shared words or pivot distances rule out. So no candidate is left out, however large
-   its bucket.
+   blocks of about BLOCK members and BLOCK_WORDS words, two blocks at a time, within a task. There an index of word
+   pairs (prefix_partners) finds the partners that the similarity allows at all; a pair already joined is skipped,
+   and so is one that lengths, shared words or pivot distances rule out. So no candidate is left out, however
+   large its bucket.
 4. Components of all links are the classes that the result names.
 
 Texts travel as 32-bit word numbers and only for classes that share a bucket. A collision of 64-bit hashes (of texts) would
@@ -40,7 +41,8 @@ from edustar.llm.store import stored
 
 K, SKETCHES, DEPTH = 5, 24, 3
 SIMILARITY = 0.8
-BLOCK = 64
+#: Members and words of a block that one task compares with another block.
+BLOCK, BLOCK_WORDS = 1_024, 1 << 20
 
 
 # -- signatures ---------------------------------------------------------------------------------------
@@ -172,6 +174,38 @@ def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return banded_distance(a, b, limit)
 
 
+def prefix_partners(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> Iterator[np.ndarray]:
+    """For each left sequence, the places in ``right`` of all that can reach the similarity, and of few others.
+
+    A sequence of n words has n + 1 pairs of neighbours, both ends included, and an edit changes two of them at most. So two
+    sequences within the similarity share (2 * similarity - 1) * n + 1 pairs or more, and if each side's pairs stand
+    in one common order, rarest first, they meet in the first n + 2 minus that many. Only those are indexed."""
+    if similarity <= 0.5 or not left or not right:
+        for _ in left:
+            yield np.arange(len(right))
+        return
+    n = np.array([len(x) for x in left + right])
+    ends = np.array([1 << 32], np.uint64), np.array([(1 << 32) + 1], np.uint64)
+    padded = np.concatenate([y for x in left + right for y in (ends[0], x.astype(np.uint64), ends[1])])
+    size = n + 1
+    first = np.concatenate(([0], np.cumsum(size)))
+    owner = np.repeat(np.arange(len(n)), size)
+    at = np.arange(first[-1]) + owner  # every sequence before holds one word more than pairs
+    pairs = _labelled(words.mix(padded[at] * np.uint64(0x9E3779B97F4A7C15) + padded[at + 1]), first)
+    _, token, count = np.unique(pairs, return_inverse=True, return_counts=True)
+    token = token[np.lexsort((token, count[token], owner))]
+    head = n + 2 - np.ceil((2 * similarity - 1) * n + 1 - 1e-6).astype(np.int64)
+    kept = np.arange(first[-1]) - first[owner] < head[owner]
+    token, owner = token[kept], owner[kept]
+    own = owner >= len(left)
+    order = np.argsort(token[own], kind="stable")
+    sorted_tokens, places = token[own][order], owner[own][order] - len(left)
+    low, high = np.searchsorted(sorted_tokens, token[~own]), np.searchsorted(sorted_tokens, token[~own], side="right")
+    cut = np.searchsorted(owner[~own], np.arange(len(left) + 1))
+    for x, y in zip(cut[:-1], cut[1:]):
+        yield np.unique(np.concatenate([places[a:b] for a, b in zip(low[x:y], high[x:y])]))
+
+
 # -- the job ------------------------------------------------------------------------------------------
 
 def _classes(docs: DataFrame) -> DataFrame:
@@ -220,9 +254,10 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETC
     heads = keyed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1")
     in_buckets = stored(keyed.join(heads, "bucket"), "buckets")
 
-    wanted = in_buckets.select("node").distinct()
-    # one row a class (the sequence of any of its equal texts)
-    sequences = stored(_sequences(rows.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "sequences")
+    # one row a class, that of its smallest doc_id: with it in the key, the copies of one text spread over many tasks
+    known = F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id")
+    wanted = classes.join(in_buckets.select("node").distinct(), "node", "left_semi").select("node", known)
+    sequences = stored(_sequences(rows.select("node", known, "text").join(wanted, ["node", "id"], "left_semi").dropDuplicates(["node"])), "sequences")
 
     star = in_buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     sides = [sequences.select(F.col("node").alias(k), F.col("seq").alias(f"{k}_seq")) for k in "ab"]
@@ -246,16 +281,18 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETC
     star_of = aligned.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "edits", "linked", "near")
     members = (in_buckets.select("bucket", "node", "pivot").join(of("node", "c"), "node", "left").join(of("pivot", "pc"), "pivot", "left")
                .join(star_of, ["pivot", "node"], "left")  # a pivot has no row with itself
-               .select("bucket", "node", F.coalesce("c", "node").alias("c"), F.coalesce("edits", F.lit(0)).alias("edits"),
+               .select("bucket", "node", "n_words", F.coalesce("c", "node").alias("c"), F.coalesce("edits", F.lit(0)).alias("edits"),
                        F.coalesce("linked", F.lit(True)).alias("linked"), F.coalesce("near", F.lit(True)).alias("near"),
                        (F.coalesce("c", "node") != F.coalesce("pc", "pivot")).alias("apart")))
     members = stored(members, "members")
     # with whom the members apart are to be compared: each other, or the whole bucket
     left = members.groupBy("bucket").agg(
         F.sum(F.col("apart").cast("long")).alias("n_apart"), F.count("*").alias("n"),
+        F.sum(F.when(F.col("apart"), F.col("n_words")).otherwise(0)).alias("words_apart"), F.sum("n_words").alias("words"),
         F.max((F.col("apart") & F.col("near")) | (~F.col("apart") & ~F.col("linked"))).alias("all")).where("n_apart > 1 or n_apart = 1 and all")
-    rest = members.join(left, "bucket").withColumn("ni", F.ceil(F.col("n_apart") / BLOCK).cast("int")).withColumn(
-        "nj", F.ceil(F.when(F.col("all"), F.col("n")).otherwise(F.col("n_apart")) / BLOCK).cast("int"))
+    blocks = lambda n, size: F.ceil(F.greatest(F.col(n) / BLOCK, F.col(size) / BLOCK_WORDS)).cast("int")
+    apart = blocks("n_apart", "words_apart")
+    rest = members.join(left, "bucket").withColumn("ni", apart).withColumn("nj", F.when(F.col("all"), blocks("n", "words")).otherwise(apart))
     mine = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keep = ["node", "c", "edits", "near", "apart"]
@@ -264,27 +301,23 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETC
 
     def compare(b: pd.DataFrame) -> pd.DataFrame:
         asks, own = b[b["asks"]].sort_values("node"), b[~b["asks"]].sort_values("node")
-        parent = {c: c for c in b["c"]}
-
-        def root(c):
-            while parent[c] != c:
-                parent[c] = parent[parent[c]]
-                c = parent[c]
-            return c
-        left, right = ([(r.node, r.c, r.edits, r.near, r.apart, _seq(r.seq)) for r in side.itertuples()] for side in (asks, own))
-        sizes = np.array([len(r[5]) for r in right])
+        left, right = ([_seq(x) for x in side["seq"]] for side in (asks, own))
+        sizes = np.array([len(x) for x in right])
+        nodes, edits, near, apart = (own[k].to_numpy() for k in ("node", "edits", "near", "apart"))
+        mine, theirs = asks["c"].to_numpy().copy(), own["c"].to_numpy().copy()  # components, joined as links are found
         out = []
-        for node, c, edits, near, _, seq in left:
-            longer = np.maximum(sizes, len(seq))
-            limits = np.floor((1.0 - similarity) * longer + 1e-9)
-            for k in np.flatnonzero(longer - np.minimum(sizes, len(seq)) <= limits):
-                other, c2, edits2, near2, apart2, seq2 = right[k]
-                limit = int(limits[k])
-                if apart2 and other <= node or root(c) == root(c2) or near and near2 and abs(edits - edits2) > limit:
-                    continue
-                if edits_within(seq, seq2, limit) <= limit:
-                    parent[root(c)] = root(c2)
-                    out.append((node, other))
+        for i, (r, k) in enumerate(zip(asks.itertuples(), prefix_partners(left, right, similarity))):
+            longer = np.maximum(sizes[k], len(left[i]))
+            limit = np.floor((1.0 - similarity) * longer + 1e-9)
+            open_ = (longer - np.minimum(sizes[k], len(left[i])) <= limit) & ~(apart[k] & (nodes[k] <= r.node))
+            if r.near:
+                open_ &= ~(near[k] & (np.abs(edits[k] - r.edits) > limit))
+            for j, most in zip(k[open_].tolist(), limit[open_].astype(int).tolist()):
+                if mine[i] != theirs[j] and edits_within(left[i], right[j], most) <= most:
+                    old = theirs[j]
+                    mine[mine == old] = mine[i]
+                    theirs[theirs == old] = mine[i]
+                    out.append((r.node, nodes[j]))
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
     more = pairs.join(sequences, "node").groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
     more = stored(more, "more_links")

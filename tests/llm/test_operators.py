@@ -353,6 +353,27 @@ def test_banded_distance():
         assert got == [min(want, limit + 1)] * 2
 
 
+def test_prefix_partners_miss_no_near_sequence():
+    rng = random.Random(8)
+
+    def edited(x):
+        x = list(x)
+        for _ in range(rng.randint(0, len(x) // 4)):
+            i = rng.randrange(len(x) + 1)
+            x[i:i + rng.randint(0, 1)] = [rng.randrange(60)] * rng.randint(0, 1)
+        return np.array(x, "<u4")
+    found = skipped = 0
+    for _ in range(30):
+        base = [[rng.randrange(60) for _ in range(rng.choice([0, 1, 4, 15, 40]))] for _ in range(6)]
+        left, right = ([edited(rng.choice(base)) for _ in range(25)] for _ in "lr")
+        for x, places in zip(left, order_minhash.prefix_partners(left, right, 0.8)):
+            near = {j for j, y in enumerate(right) if order_minhash.edits_within(x, y, m := order_minhash.allowed_edits(max(len(x), len(y)))) <= m}
+            assert near <= set(places.tolist())
+            found, skipped = found + len(near), skipped + len(right) - len(places)
+    assert found > 500 and skipped > 5_000
+    assert [p.tolist() for p in order_minhash.prefix_partners([np.array([1], "<u4")], right, 0.5)] == [list(range(25))]
+
+
 def test_signatures_keep_order():
     from edustar.llm import words
     a = " ".join(f"w{i}" for i in range(60))
