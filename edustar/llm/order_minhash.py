@@ -279,7 +279,7 @@ def links(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETC
     first = stored(components(aligned.where("linked").select("a", "b")), "first_components")
     of = lambda k, name: first.select(F.col("node").alias(k), F.col("component").alias(name))
     star_of = aligned.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "edits", "linked", "near")
-    members = (in_buckets.select("bucket", "node", "pivot").join(of("node", "c"), "node", "left").join(of("pivot", "pc"), "pivot", "left")
+    members = (in_buckets.select("bucket", "node", "pivot", "n_words").join(of("node", "c"), "node", "left").join(of("pivot", "pc"), "pivot", "left")
                .join(star_of, ["pivot", "node"], "left")  # a pivot has no row with itself
                .select("bucket", "node", "n_words", F.coalesce("c", "node").alias("c"), F.coalesce("edits", F.lit(0)).alias("edits"),
                        F.coalesce("linked", F.lit(True)).alias("linked"), F.coalesce("near", F.lit(True)).alias("near"),
