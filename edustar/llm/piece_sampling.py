@@ -40,6 +40,8 @@ SAMPLES = 2
 TEMPERATURE = 1.0
 #: Arcs of distinct words kept in a worker before the store is begun anew.
 ARCS = 12_000_000
+#: New words built together, and characters of texts sampled together: few enough for the processor's cache.
+AT_ONCE, CHARACTERS = 4_096, 1 << 18
 BLANK = "▁"
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOADED: dict[tuple, "Lattice"] = {}
@@ -112,8 +114,8 @@ class Lattice:
         if len(self.arc_p) > ARCS:  # only here, so a batch's words stay while it is worked on
             self._empty()
         new = [u for u in units if u not in self.words]
-        if new:
-            self._build(new)
+        for i in range(0, len(new), AT_ONCE):
+            self._build(new[i:i + AT_ONCE])
 
     def _spelled(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Sorted hashes of the pieces, their ids and weights, and a filter over the hashes' top bits."""
@@ -356,7 +358,7 @@ def segmentations(docs: DataFrame, model_file: str, k: int = SAMPLES, temperatur
         lattice = Lattice.load(model_file, temperature)
         for b in batches:
             texts, ids_of, seeds = [t or "" for t in b["text"]], b["doc_id"].astype("Int64").tolist(), seed_of(b["doc_id"])
-            for part in words.slices(texts):
+            for part in words.slices(texts, CHARACTERS):
                 out = []
                 for text, doc_id, (walks, kappa) in zip(texts[part], ids_of[part], sample_texts(lattice, texts[part], seeds[part], k)):
                     for i, w in enumerate(walks):
