@@ -1,12 +1,16 @@
 """Near-duplicate documents by order MinHash, verified by banded alignment.
 
 Two texts are near copies when the edit similarity of their word sequences (white-space words, lower case) is SIMILARITY or more:
-1 - edits / words of the longer one. Order MinHash finds candidates: for each of SKETCHES hash functions,
-the DEPTH smallest occurrence-labelled five-word k-mers, kept in text order, are one signature, so a
-signature is sensitive to what a text holds and in which order.
+1 - edits / words of the longer one. Order MinHash finds candidates among texts of similarity * SHORT words or more: for
+each of SKETCHES hash functions, the DEPTH smallest occurrence-labelled K-word k-mers, kept in text order, are one
+signature, so a signature is sensitive to what a text holds and in which order. K, SKETCHES and DEPTH follow from the recall
+wanted at the similarity itself: edits scattered at random at 0.8 leave a resemblance of about 0.47 of word pairs, so a
+pair is missed with (1 - 0.47**3)**48, about 0.5%; edits evenly apart, the worst case, leave 0.43 (2%). Texts of up to SHORT words have too
+few k-mers for that: they meet by the rarest of their word pairs, as many as the similarity asks for (prefix), which
+misses no pair at all. Two linked texts have lengths within the similarity, so either both have SHORT words at most or both are sketched.
 
 1. Equal texts form one class, counted with a map-side combine; only classes go on.
-2. Classes that share a signature form buckets. Every bucket's smallest member is its pivot; each other member is aligned with it (a star:
+2. Classes that share a signature or a rare pair form buckets. Every bucket's smallest member is its pivot; each other member is aligned with it (a star:
    a bucket of thousands costs thousands of alignments, not millions). Pairs that recur in several buckets
    are aligned once. Linked classes join into components.
 3. Members that are not in their pivot's component are still to be compared with each other and, where the
@@ -20,7 +24,7 @@ signature is sensitive to what a text holds and in which order.
 Texts travel as 32-bit word numbers and only for classes that share a bucket. A collision of 64-bit hashes (of texts) would
 join two texts by mistake: about n**2 / 2**65 for n texts.
 
-Defined cases: a null text counts as empty; texts of under five words have one k-mer, all their words; empty
+Defined cases: a null text counts as empty; a text of one word has two pairs, with its start and its end; empty
 texts are equal to each other and to nothing else; repeated rows are equal texts; a null doc_id gets its class's smallest
 doc_id and is never kept unless its class has none; an empty table gives an empty result.
 """
@@ -39,8 +43,12 @@ from edustar.llm import words
 from edustar.llm.components import components
 from edustar.llm.store import stored
 
-K, SKETCHES, DEPTH = 5, 24, 3
+K, SKETCHES, DEPTH = 2, 48, 3
 SIMILARITY = 0.8
+#: Up to so many words, texts meet by their rarest word pairs.
+SHORT = 100
+#: Bits of the table of how common word pairs of short texts are; it is collected, and only orders them.
+COMMON_BITS = 18
 #: Members and words of a block that one task compares with another block.
 BLOCK, BLOCK_WORDS = 1_024, 1 << 20
 
@@ -92,6 +100,33 @@ def signatures(h: np.ndarray, first: np.ndarray, sketches: int = SKETCHES, depth
     return out
 
 
+def neighbour_pairs(w: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labelled hashes of each text's pairs of neighbours, both ends included, and each text's first pair."""
+    n = np.diff(first)
+    doc = np.arange(len(n))
+    padded = np.full(len(w) + 2 * len(n), 1 << 32, np.uint64)
+    padded[first[1:] + 2 * doc + 1] += np.uint64(1)
+    padded[np.arange(len(w)) + 2 * np.repeat(doc, n) + 1] = w
+    out_first = np.concatenate(([0], np.cumsum(n + 1)))
+    at = np.arange(out_first[-1]) + np.repeat(doc, n + 1)  # every text before holds one word more than pairs
+    return _labelled(words.mix(padded[at] * np.uint64(0x9E3779B97F4A7C15) + padded[at + 1]), out_first), out_first
+
+
+def prefix_size(n: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of their pairs texts of n words must show, in an order common to all, so that near ones meet (see prefix_partners)."""
+    return np.minimum(n + 2 - np.ceil((2 * similarity - 1) * n + 1 - 1e-6).astype(np.int64), n + 1)
+
+
+def common_slot(pairs: np.ndarray) -> np.ndarray:
+    """A pair's place in the table of how common pairs are."""
+    return (pairs.astype(np.int64, copy=False).view(np.uint64) >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
+
+
+def prefix(pairs: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """Of one text's pairs the rarest, as many as the similarity asks for."""
+    return pairs[np.lexsort((pairs, common[common_slot(pairs)]))[:int(prefix_size(np.array([len(pairs) - 1]), similarity)[0])]]
+
+
 # -- alignment ----------------------------------------------------------------------------------------
 
 def banded_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
@@ -185,17 +220,11 @@ def prefix_partners(left: list[np.ndarray], right: list[np.ndarray], similarity:
             yield np.arange(len(right))
         return
     n = np.array([len(x) for x in left + right])
-    ends = np.array([1 << 32], np.uint64), np.array([(1 << 32) + 1], np.uint64)
-    padded = np.concatenate([y for x in left + right for y in (ends[0], x.astype(np.uint64), ends[1])])
-    size = n + 1
-    first = np.concatenate(([0], np.cumsum(size)))
-    owner = np.repeat(np.arange(len(n)), size)
-    at = np.arange(first[-1]) + owner  # every sequence before holds one word more than pairs
-    pairs = _labelled(words.mix(padded[at] * np.uint64(0x9E3779B97F4A7C15) + padded[at + 1]), first)
+    pairs, first = neighbour_pairs(np.concatenate(left + right).astype(np.uint64), np.concatenate(([0], np.cumsum(n))))
+    owner = np.repeat(np.arange(len(n)), n + 1)
     _, token, count = np.unique(pairs, return_inverse=True, return_counts=True)
     token = token[np.lexsort((token, count[token], owner))]
-    head = n + 2 - np.ceil((2 * similarity - 1) * n + 1 - 1e-6).astype(np.int64)
-    kept = np.arange(first[-1]) - first[owner] < head[owner]
+    kept = np.arange(first[-1]) - first[owner] < prefix_size(n, similarity)[owner]
     token, owner = token[kept], owner[kept]
     own = owner >= len(left)
     order = np.argsort(token[own], kind="stable")
@@ -213,16 +242,40 @@ def _classes(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
 
 
-def _sketch(rows: DataFrame, sketches: int, depth: int) -> DataFrame:
-    """node, n_words, sigs of every row (equal texts repeat)."""
+def _sketch(rows: DataFrame, similarity: float, sketches: int, depth: int) -> DataFrame:
+    """node, n_words, sigs (of texts that order MinHash finds) and pairs (of short texts) of every row (equal texts repeat)."""
+    none = np.zeros(0, np.int64)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             texts = b["text"].tolist()
             for part in words.slices(texts):
                 w, first = words.word_hashes(texts[part])
+                n = np.diff(first)
                 s = signatures(*words.shingle_hashes(w, first, K), sketches, depth)
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].astype("Int64").values, "node": b["node"].iloc[part].values, "n_words": np.diff(first), "sigs": list(s)})
-    return rows.mapInPandas(run, "doc_id long, node long, n_words int, sigs array<long>")
+                sigs = [x if m >= similarity * SHORT else none for x, m in zip(s, n.tolist())]
+                short = n <= SHORT
+                pairs, cut = neighbour_pairs(w[np.repeat(short, n)], np.concatenate(([0], np.cumsum(n[short]))))
+                pairs = iter(np.split(pairs.view(np.int64), cut[1:-1]))
+                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].astype("Int64").values, "node": b["node"].iloc[part].values, "n_words": n, "sigs": sigs,
+                                    "pairs": [next(pairs) if m and x else none for m, x in zip(short.tolist(), n.tolist())]})
+    return rows.mapInPandas(run, "doc_id long, node long, n_words int, sigs array<long>, pairs array<long>")
+
+
+def _rare(classes: DataFrame, similarity: float) -> DataFrame:
+    """node, n_words, bucket: the short texts' rarest pairs."""
+    slot = F.shiftrightunsigned("pair", 64 - COMMON_BITS)
+    counts = classes.select(F.explode("pairs").alias("pair")).groupBy(slot.alias("slot")).count().collect()  # 2^COMMON_BITS rows at most
+    common = np.zeros(1 << COMMON_BITS, np.int64)
+    for slot, count in counts:
+        common[slot] = count
+    common = classes.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(pairs=[prefix(x, common.value, similarity) for x in b["pairs"]])
+    kept = classes.where(F.size("pairs") > 0).select("node", "n_words", "pairs").mapInPandas(run, "node long, n_words int, pairs array<long>")
+    return kept.select("node", "n_words", F.explode("pairs").alias("pair")).select(F.xxhash64("pair").alias("bucket"), "node", "n_words")
 
 
 def _sequences(rows: DataFrame) -> DataFrame:
@@ -244,13 +297,13 @@ def _seq(raw: bytes) -> np.ndarray:
 def links(docs: DataFrame, similarity: float = SIMILARITY, sketches: int = SKETCHES, depth: int = DEPTH) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows: doc_id, node; classes: node, doc_id, copies; joined: node, component of linked classes)."""
     rows = _classes(docs)
-    sketched = stored(_sketch(rows, sketches, depth), "sketches")
+    sketched = stored(_sketch(rows, similarity, sketches, depth), "sketches")
     classes = stored(sketched.groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("sigs").alias("sigs")), "classes")
+        F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("sigs").alias("sigs"), F.first("pairs").alias("pairs")), "classes")
 
-    # buckets: (sketch, signature) -> members; only those shared by two classes or more
+    # buckets: (sketch, signature) or rare pair -> members; only those shared by two classes or more
     keyed = classes.where("n_words > 0").select("node", "n_words", F.posexplode("sigs").alias("r", "sig")).withColumn(
-        "bucket", F.xxhash64("r", "sig")).select("bucket", "node", "n_words")
+        "bucket", F.xxhash64("r", "sig")).select("bucket", "node", "n_words").union(_rare(classes, similarity))
     heads = keyed.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("pivot")).where("size > 1")
     in_buckets = stored(keyed.join(heads, "bucket"), "buckets")
 

@@ -418,6 +418,50 @@ def test_classes_match_brute_force(spark, frame, monkeypatch):
     assert got == [root(i) for i in range(len(texts))]
 
 
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+@pytest.mark.parametrize("n", [10, 20, 30, 150, 400])
+def test_scattered_edits_are_candidates(n, similarity):
+    """Words substituted at random places, as many as the similarity allows: the texts still meet."""
+    from edustar.llm import words
+    rng = random.Random(n)
+    met, pairs = 0, 150
+    texts = []
+    for i in range(pairs):
+        w = [f"v{rng.randrange(3000)}" for _ in range(n)]
+        edited = list(w)
+        for j in rng.sample(range(n), order_minhash.allowed_edits(n, similarity)):
+            edited[j] = f"x{i}_{j}"
+        texts += [" ".join(w), " ".join(edited)]
+    w, first = words.word_hashes(texts)
+    if n <= order_minhash.SHORT:
+        p, cut = order_minhash.neighbour_pairs(w, first)
+        p = np.split(p.view(np.int64), cut[1:-1])
+        common = np.bincount(order_minhash.common_slot(np.concatenate(p)), minlength=1 << order_minhash.COMMON_BITS)
+        keys = [set(order_minhash.prefix(x, common, similarity).tolist()) for x in p]
+        assert all(a & b for a, b in zip(keys[::2], keys[1::2]))
+    else:
+        s = order_minhash.signatures(*words.shingle_hashes(w, first, order_minhash.K))
+        assert (s[::2] == s[1::2]).any(axis=1).mean() > 0.97
+
+
+def test_scattered_and_short_near_copies_link(spark, frame):
+    rng = random.Random(13)
+    rows = []
+    for i in range(240):
+        n = rng.choice([10, 20, 30, 79, 80, 90, 100, 110, 125, 250])
+        w = [f"v{rng.randrange(3000)}" for _ in range(n)]
+        edited = list(w)
+        for j in rng.sample(range(n), order_minhash.allowed_edits(n)):
+            edited[j:j + 1] = rng.choice([[f"x{i}_{j}"], [f"x{i}_{j}"], []]) if len(edited) == n else [f"x{i}_{j}"]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(edited))]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(frame(rows)).collect()}
+    near = [i for i in range(0, 480, 2) if (m := order_minhash.allowed_edits(max(len(rows[i][1].split()), len(rows[i + 1][1].split())))) >= order_minhash.edits_within(
+        *(np.array([zlib.crc32(x.encode()) for x in rows[i + k][1].split()], "<u4") for k in (0, 1)), m)]
+    short = [i for i in near if len(rows[i][1].split()) <= order_minhash.SHORT]
+    assert len(near) > 200 and all(got[i + 1] == i for i in short)
+    assert np.mean([got[i + 1] == i for i in near]) > 0.97
+
+
 def test_keep_one(spark, frame):
     rows = [(5, "the same words of a text"), (2, "the same words of a text"), (2, "the same words of a text"), (9, "another text that is alone here")]
     got = order_minhash.keep_one(frame(rows)).collect()
