@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and multipart credentials linked by an interval join.
 
 Strong spans stand alone: an assigned secret, an access key id, a long hex string. Weak parts (a named
-identifier, a random-looking string, a service address) mean little alone; each is reported only when a
+identifier, a random-looking string of one letter case or both, a service address) mean little alone; each is reported only when a
 complementary part lies in its scope: an identifier or an address needs a secret, a random-looking string
 needs an identifier or an access key. A part's scope is the interval of SCOPE code points on both sides
 of it, cut at blank lines. The join runs inside the row that holds the text, over the sorted part
@@ -37,7 +37,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)  # a maximal run is a match or none, so the floor can stand in the pattern
 IDENTIFIER = re.compile(
     r"\b(?:user(?:name)?|login|client_id|account(?:_id)?|access_key(?:_id)?)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9_.@-]{3,})", re.I | re.A)
-RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/_=-])" % MIN_RANDOM)
+#: A maximal run, whatever sign stands before it (as '=' or ':'); '=' belongs to it only as closing padding.
+RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?" % MIN_RANDOM)
 ENDPOINT = re.compile(
     r"\b(?:[a-z][a-z0-9+.-]{1,15}://[^\s\"'<>]+|(?:host|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9_.:-]{3,})", re.A)
 BLANK_LINE = re.compile(r"\n[ \t]*\n")
@@ -55,10 +56,15 @@ def strong_spans(text: str) -> list[Span]:
 
 
 def _random_looking(s: str) -> bool:
-    """Upper and lower case and digits, changing kind often."""
+    """Letters of one case or both, and digits, changing kind often."""
     kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "o" for c in s]
     turns = sum(a != b for a, b in zip(kinds, kinds[1:]))
-    return {"d", "u", "l"} <= set(kinds) and turns * 4 >= len(s)
+    if {"d", "u", "l"} <= set(kinds):
+        return turns * 4 >= len(s)
+    # base 32 and base 36: about a fifth or more of the signs are digits, so a quarter or more change kind; a name or
+    # a path made of words and a number has few changes, a date or an id of digit groups few letters
+    plain = s.rstrip("=")
+    return plain.isalnum() and "d" in kinds and ("u" in kinds or "l" in kinds) and turns * 5 >= len(plain) and sum(k != "d" for k in kinds) * 3 >= len(plain)
 
 
 def weak_parts(text: str, strong: list[Span]) -> list[Span]:

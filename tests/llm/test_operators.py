@@ -159,6 +159,24 @@ def test_weak_parts_need_a_complement():
     assert kinds(f"username=alice\n\n{random_key}") == []
 
 
+@pytest.mark.parametrize("secret", ["wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "k3j9x0q2m7v1z8b4n6t5w2r9", "K3J7XAQ2M7VBZ4D5N6T2W2RC", "aB3dE5fG7hI9jK1lM3nO5pQ7=="])
+@pytest.mark.parametrize("form", ["aws_secret_access_key={}", 'SECRET_ACCESS_KEY="{}"', "https://h.example.org/x?sig={}", "signing_key:{}", "a=1&sig={}&b=2", "sig = {}"])
+def test_secret_behind_an_assignment_is_linked(form, secret):
+    access = "AKIA" + "A1B2" * 4
+    text = f"{access}\n{form.format(secret)}\n"
+    spans = secret_scan.scan(text)[1]
+    at = text.index(secret)
+    assert ("random", at, at + len(secret)) in spans
+    assert secret not in secret_scan.redact(text)
+    assert "random" not in [k for k, _, _ in secret_scan.scan(form.format(secret))[1]]  # nothing without a complement
+
+
+def test_plain_long_names_are_not_random():
+    access = "AKIA" + "A1B2" * 4
+    for name in ("internationalization_of_names", "path/to/some/module/file2", "2024-01-02T10-11-12-000000", "CONSTANT_NAME_OF_SETTING_2", "========================"):
+        assert secret_scan.scan(f"{access} x={name}")[1] == []
+
+
 def test_redaction_leaves_the_rest():
     assert secret_scan.redact("a password=abcdef0123 b AKIA" + "A" * 16 + " c") == "a [ASSIGN] b [ACCESS] c"
     assert secret_scan.redact(None) is None and secret_scan.redact("plain") == "plain"
