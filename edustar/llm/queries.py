@@ -66,7 +66,7 @@ def op7_html_text(spark, sf_dir):
 
 @query
 def op8_piece_sampling(spark, sf_dir):
-    return piece_sampling.segmentations(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return piece_sampling.segmentations(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 @query

@@ -323,6 +323,16 @@ def test_samples_do_not_depend_on_the_batch(spark, docs):
         assert library.decode([int(i) for i in ids]) == some.where(f"doc_id = {doc_id}").first()["text"]
 
 
+def test_the_query_gives_the_segmentations(spark, local):
+    got = run(spark, "op8_piece_sampling")
+    lattice = piece_sampling.Lattice.load(P.path("piece_bpe_32k.model"))
+    text = dict(zip(local.doc_id, local.text))
+    for r in got.itertuples():
+        ids = np.array(r.ids, "<u4")
+        assert len(ids) == r.n_pieces and zlib.crc32(ids.tobytes()) == r.ids_crc32
+        assert lattice.decode(ids) == text[r.doc_id]
+
+
 # -- 9: vectors ---------------------------------------------------------------------------------------
 
 def test_vector_links_match_brute_force(spark, monkeypatch):
