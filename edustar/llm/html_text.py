@@ -7,11 +7,17 @@ stop words makes content; short blocks stay undecided. Pass two lets each undeci
 of its nearest decided neighbours: alike ones give theirs, unlike ones give the nearer one's, and on a tie
 content if the block lies in an article.
 
+Names are weaker than elements. A heading's names and words behind has-, no-, with- or without- do not count, nor do
+ids that title a section of a text (TITLES), nor the header of an article. An element named as boilerplate is taken for a mere wrapper, and its name dropped,
+if it holds the main element, or the article with the most text (unless it is named as comments), or, on a page without these, if no content is left
+outside of it and it holds most of the page's content (comments never do).
+
 Character references are decoded, white space inside a block (line-break elements count as such) becomes one
 space, blocks are trimmed and joined in page order by one space. Nothing else is dropped or cut.
 
 Defined cases: null html counts as empty; a page without content has the empty text; markup cut off at the
-end of the page is dropped; repeated rows are kept; an empty table gives an empty result.
+end of the page is dropped; an unclosed script, style, textarea or template runs to the end of the page, of other skipped elements without an
+end tag only the tag is skipped; repeated rows are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,6 +51,14 @@ NAMES = frozenset(
     "masthead topbar footer foot sidebar aside rail widget cookie cookies consent notice notices alert popup modal overlay newsletter subscribe signup login "
     "form search share sharing social related recommended comment comments reply replies disqus discussion respond pagination pager copyright legal toolbar contentinfo complementary".split())
 
+#: Fixed lists: names of comments; section ids that a text's own sections have; words beside which "header" names a part of the text.
+COMMENTS = frozenset("comment comments reply replies disqus respond".split())
+TITLES = frozenset("discussion related legal copyright notice notices form search consent recommended navigation menu sharing respond alert banner".split())
+OF_TEXT = frozenset("article post entry content story section page title chapter paper".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+NEGATING = frozenset("has no with without".split())
+TO_THE_END = frozenset("script style textarea template".split())
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|[\s/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
@@ -62,36 +76,59 @@ class Block:
     inside: bool  # in an article or main element
     named: bool  # in boilerplate by element or name
     box: int  # number of the innermost container
+    marks: tuple[int, ...] = ()  # numbers of the elements around it that are boilerplate by name
+    articles: tuple[int, ...] = ()  # numbers of the article and main elements around it
 
 
-def _names_boilerplate(attributes: str) -> bool:
+def _hidden(attributes: str) -> bool:
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style":
-            if _HIDDEN.search(value):
-                return True
-        elif name in ("class", "id", "role") and any(w.lower() in NAMES for w in _WORD.findall(value)):
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
             return True
     return False
 
 
+def _boilerplate_words(element: str, attributes: str, inside: bool) -> set[str]:
+    """The words of class, id and role that name the element as boilerplate."""
+    out: set[str] = set()
+    if element in HEADINGS:
+        return out
+    found = [(n.lower(), v.strip("\"'")) for n, v in _ATTRIBUTE.findall(attributes)]
+    section = element == "section" or any(n == "class" and "section" in v.lower().split() for n, v in found)
+    for name, value in found:
+        if name in ("class", "id", "role"):
+            for token in value.split():
+                words = [w.lower() for w in _WORD.findall(token)]
+                if words and words[0] in NEGATING:
+                    continue
+                named = NAMES.intersection(words)
+                if inside or OF_TEXT.intersection(words):
+                    named -= {"header"}
+                if name == "id" and section:
+                    named -= TITLES
+                out |= named
+    return out
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
     pieces: list[str] = []
     linked = 0
-    stack: list[tuple[str, bool, bool, int]] = []  # (element, boilerplate, inside an article, container)
+    # (element, boilerplate, inside an article, container, marks, articles)
+    stack: list[tuple[str, bool, bool, int, tuple[int, ...], tuple[int, ...]]] = []
     links = boxes = 0
+    marks: list[bool] = []  # whether the mark is one of comments
+    articles: list[tuple[bool, tuple[int, ...]]] = []  # whether it is main, and the marks around it
+    unclosed: set[str] = set()
 
     def close_block() -> None:
         nonlocal linked
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text:
-                tag, named, inside, box = stack[-1] if stack else ("", False, False, 0)
-                out.append(Block(text, min(linked, len(text)), tag, inside, named, box))
+                tag, named, inside, box, *around = stack[-1] if stack else ("", False, False, 0, (), ())
+                out.append(Block(text, min(linked, len(text)), tag, inside, named, box, *around))
             pieces.clear()
         linked = 0
 
@@ -121,9 +158,14 @@ def blocks(page: str) -> list[Block]:
             continue
         attributes = m[3] or ""
         if name in RAW:
-            if not attributes.endswith("/"):
+            if not attributes.endswith("/") and name not in unclosed:
                 stop = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = stop.end() if stop else end
+                if stop:
+                    at = stop.end()
+                elif name in TO_THE_END:
+                    at = end
+                else:
+                    unclosed.add(name)
             pieces.append(" ")
         elif name in SPACES:
             pieces.append(" ")
@@ -135,19 +177,56 @@ def blocks(page: str) -> list[Block]:
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                 _close_open(stack, name)
             if name not in VOID:
-                _, bad, inside, box = stack[-1] if stack else ("", False, False, 0)
+                _, bad, inside, box, of_marks, of_articles = stack[-1] if stack else ("", False, False, 0, (), ())
                 if name not in LINES:
                     boxes += 1
                     box = boxes
                 article = inside or name in ("article", "main")
                 named = name in BOILERPLATE or name == "header" and not inside
-                named = named or name not in ("body", "html", "article", "main") and bool(attributes) and _names_boilerplate(attributes)
-                stack.append((name, bad or named, article, box))
+                if name not in ("body", "html", "article", "main") and attributes:
+                    named = named or _hidden(attributes)
+                    words = _boilerplate_words(name, attributes, inside)
+                    if words:
+                        of_marks += (len(marks),)
+                        marks.append(bool(words & COMMENTS))
+                if name in ("article", "main"):
+                    of_articles += (len(articles),)
+                    articles.append((name == "main", of_marks))
+                stack.append((name, bad or named, article, box, of_marks, of_articles))
     close_block()
+    _drop_wrappers(out, marks, articles)
     return out
 
 
-def _close_open(stack: list[tuple[str, bool, bool, int]], name: str) -> None:
+def _drop_wrappers(page_blocks: list[Block], marks: list[bool], articles: list[tuple[bool, tuple[int, ...]]]) -> None:
+    """Blocks under a name become boilerplate, unless the named element only wraps the text (see above)."""
+    if not marks:
+        return
+    text = [0] * len(articles)
+    for b in page_blocks:
+        for i in b.articles if not b.named else ():
+            text[i] += len(b.text)
+    wrappers: set[int] = {i for main, around in articles if main for i in around}
+    if articles:
+        most = text.index(max(text))
+        wrappers |= {i for i in articles[most][1] if not marks[i] and text[most]}
+    content = [b for b in page_blocks if decide(b) == CONTENT]  # without regard to names
+    if any(t and not any(marks[i] for i in around) for t, (_, around) in zip(text, articles)):
+        content = []  # the text is the article's, however short
+    while content and all(set(b.marks) - wrappers for b in content):
+        size: dict[int, int] = {}
+        for b in content:
+            for i in set(b.marks) - wrappers:
+                size[i] = size.get(i, 0) + len(b.text) * (not marks[i])
+        largest = max(size, key=lambda i: (size[i], -i))
+        if 2 * size[largest] <= sum(len(b.text) for b in content):
+            break  # several named parts, none of them most of the page
+        wrappers.add(largest)
+    for b in page_blocks:
+        b.named = b.named or any(i not in wrappers for i in b.marks)
+
+
+def _close_open(stack: list[tuple], name: str) -> None:
     """A new paragraph, list item or cell closes an open one of its kind in the same container."""
     for i in range(len(stack) - 1, -1, -1):
         if stack[i][0] == name:

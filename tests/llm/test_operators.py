@@ -285,6 +285,25 @@ def test_block_rules():
     assert html_text.main_text("<p>a<b") == "" and html_text.main_text("") == "" and html_text.main_text(None) == ""
 
 
+PROSE = "This is the text of the article and it is long enough to be taken for the main text of a page."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='content-sidebar-wrap'><main><p>{PROSE}</p></main><div class=sidebar><p>{PROSE}</p></div></div>", PROSE),
+    (f"<div class='content-sidebar-wrap'><article><p>{PROSE}</p></article></div><div class=related><article><p>Other.</p></article></div>", PROSE),
+    (f"<div class='content-sidebar-wrap'><div><p>{PROSE}</p></div></div>", PROSE),
+    (f"<div class='has-sidebar'><p>{PROSE}</p></div><div class='sidebar'><p>{PROSE}</p></div>", PROSE),
+    (f"<article><p>{PROSE}</p><section id='discussion'><p>{PROSE}</p></section></article>", f"{PROSE} {PROSE}"),
+    (f"<article><h2 id='search-form'>Search</h2><p>{PROSE}</p></article>", f"Search {PROSE}"),
+    (f"<div><div class='article-header'><h1>Title</h1></div><p>{PROSE}</p></div>", f"Title {PROSE}"),
+    (f"<article><p>{PROSE}</p></article><section id=comments><article class=comment><p>{PROSE} {PROSE}</p></article></section>", PROSE),
+    *((f"<article><p>{PROSE}</p><{tag} class=x>a<p>{PROSE}</p></article>", f"{PROSE} a {PROSE}") for tag in "button select object canvas svg iframe noscript".split()),
+    (f"<p>{PROSE}</p><script>x = '<p>'", PROSE),
+])
+def test_names_and_open_tags_do_not_empty_a_page(page, want):
+    assert html_text.main_text(page) == want
+
+
 # -- 8: sampling --------------------------------------------------------------------------------------
 
 def test_samples_follow_the_lattice():
