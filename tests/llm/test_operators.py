@@ -342,6 +342,46 @@ def test_samples_do_not_depend_on_the_batch(spark, docs):
         assert library.decode([int(i) for i in ids]) == some.where(f"doc_id = {doc_id}").first()["text"]
 
 
+def test_five_samples_follow_the_lattice():
+    """k = 5: branches of several walks, steps opened again and kappa of later rounds, against every path of a small word."""
+    import math
+    lattice = piece_sampling.Lattice.load(P.path("piece_bpe_32k.model"))
+
+    def every(u):
+        if not u:
+            return [((), 0.0)]
+        return [((lattice.pieces[u[:j]][0], *r), w + lattice.pieces[u[:j]][1]) for j in range(1, len(u) + 1) if u[:j] in lattice.pieces for r, w in every(u[j:])]
+    paths = every("▁the")
+    z = math.log(sum(math.exp(w) for _, w in paths))
+    p = {s: math.exp(w - z) for s, w in paths}
+    n, k = 8000, 5
+    assert len(p) > k
+    # the chance that each path is the second or third drawn, and that it is among the first three
+    order = {i: Counter() for i in range(3)}
+    for a, pa in p.items():
+        order[0][a] += pa
+        for b, pb in p.items():
+            if b != a:
+                order[1][b] += pa * pb / (1 - pa)
+                for c, pc in p.items():
+                    if c not in (a, b):
+                        order[2][c] += pa * pb / (1 - pa) * pc / (1 - pa - pb)
+    seen, estimate = {i: Counter() for i in range(3)}, 0.0
+    for walks, kappa in piece_sampling.sample_texts(lattice, ["the"] * n, piece_sampling.seed_of(pd.Series(range(n))), k):
+        found = [tuple(lattice.ids(w.arcs).tolist()) for w in walks]
+        values = [w.value for w in walks] + [kappa]
+        assert len(set(found)) == k and values == sorted(values, reverse=True)
+        assert all(abs(w.log_prob - math.log(p[s])) < 1e-9 for w, s in zip(walks, found))
+        for i in range(3):
+            seen[i][found[i]] += 1
+        estimate += sum(math.exp(w.log_prob - piece_sampling.log_inclusion(w.log_prob, kappa)) for w in walks)
+    assert max(abs(seen[i][s] / n - order[i][s]) for i in range(3) for s in p) < 0.02
+    assert abs(estimate / n - 1) < 0.1
+    # more samples than paths: all of them, each with inclusion score 1
+    (walks, kappa), = piece_sampling.sample_texts(lattice, ["the"], piece_sampling.seed_of(pd.Series([1])), len(p) + 3)
+    assert {tuple(lattice.ids(w.arcs).tolist()) for w in walks} == set(p) and kappa == -math.inf
+
+
 def test_the_query_gives_the_segmentations(spark, local):
     got = run(spark, "op8_piece_sampling")
     lattice = piece_sampling.Lattice.load(P.path("piece_bpe_32k.model"))
