@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame
 from edustar.session import storage_root
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder (one folder for each value of ``by``) and read it back."""
     spark = df.sparkSession
     path = f"{storage_root(spark)}/llm/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
