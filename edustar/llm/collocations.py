@@ -1,6 +1,6 @@
 """Phrase collocation mining by dynamic itemset counting.
 
-The texts are normalised once (A-Z in lower case, words with one space between, pieces on lines of their own) and
+The texts are normalised once (A-Z in lower case, words with one blank between, pieces on lines of their own) and
 written as ``SHARDS`` shards. Then the shards are scanned in a cycle, one a step, for phrases of all lengths at once:
 
 * Words count from the first step on. A longer phrase becomes active at the end of the step in which the later one of
@@ -9,19 +9,19 @@ written as ``SHARDS`` shards. Then the shards are scanned in a cycle, one a step
 * A phrase is done when the cycle has passed all shards since it became active. When no phrase can be active any
   more, the scan stops, after three cycles at most (one for each length).
 
-A count is kept for each phrase and shard, so a shard met twice counts once. Which phrases are active is told inside
-the tasks by a table of ``SLOTS`` bytes: the hash of each phrase that reached the threshold leads to the step in
-which it did (the latest one where hashes collide). A collision can only make a phrase be counted that need not be;
-it is then below the threshold, or counted in all shards as well. So counts of phrases at or above the threshold are
-exact whatever the number of phrases, and the table (``SLOTS`` bytes at most, sent to the tasks) does not grow.
-
-A task counts in numpy by 64-bit hashes of the words of one batch (phrases of a batch are told apart by these), gives
-each different phrase of a batch once, and Spark adds them up by the phrase itself, map-side first. Steps and states are
-written tables. The best of each language are ranked in salted groups first, so no group meets in one task.
+A step writes the hashes of the active phrases of each block of text with their counts (capped at the threshold), packed
+by ranges of the hash; after a step, one task for each range adds up what the open phrases have so far. Hashes that
+reach the threshold enter a table of ``SLOTS`` bytes: the top bits of the hash lead to the step of the first entry. It
+is all that the tasks of the next step need to tell which phrases are active. Hashes that collide can only make a
+phrase active early or needlessly, and each phrase has one step at which it becomes active, so it is counted in every
+shard once. A last scan names the phrases that reached the threshold by the table and adds them up by the phrase itself,
+so counts are exact and no hash decides one (within a block of text phrases are told apart by 64 bits). The table does
+not grow with the input, only its use as a filter falls; ranges grow with the input.
 
 Defined cases: a null text counts as empty; a text without words changes nothing; a null lang is the lang "und"; very
-long texts are counted whole; repeated rows count as often as they occur; ties in score are settled by count, then
-by phrase; an empty table gives an empty result; other columns, whatever their names, are not read.
+long texts are counted whole (in blocks that end where a piece does); repeated rows count as often as they occur; ties
+in score are settled by count, then by phrase; an empty table gives an empty result; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -36,12 +36,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from edustar.llm import words as W
-from edustar.llm.store import stored
+from edustar.llm.store import shuffle_partitions, stored
 from edustar.operators.joins import lookup_join
 
 THRESHOLD, LENGTHS = 10, 3
-SHARDS = 4
-SLOTS = 1 << 22
+SHARDS = 3
+#: The table of phrases that reached the threshold has 2^SLOT_BITS bytes.
+SLOT_BITS = 22
+#: Words of the input for each range of hashes, which one task adds up; a hash keeps REST_BITS below its range.
+RANGE_WORDS, REST_BITS = 4 << 20, 40
 #: Bytes of text that are counted at once in a task.
 BLOCK = 4 << 20
 TOP, SALTS = 2000, 64
@@ -106,15 +109,6 @@ def _seed(lang: str) -> np.uint64:
     return W.hash_runs(raw, np.array([0]), np.array([len(raw)]))[0]
 
 
-def phrase_keys(words: np.ndarray) -> Iterator[np.ndarray]:
-    """Hashes of the phrases of 1, 2, ... words that begin at each word."""
-    key = words
-    yield key
-    for n in range(1, LENGTHS):
-        key = W.mix(key[:len(words) - n] * np.uint64(0xD1342543DE82EF95) + words[n:])
-        yield key
-
-
 def _blocks(raw: bytes) -> Iterator[bytes]:
     """``raw`` in blocks of BLOCK bytes or so that end where a piece does (a phrase never crosses pieces)."""
     at = 0
@@ -124,115 +118,169 @@ def _blocks(raw: bytes) -> Iterator[bytes]:
         at = end
 
 
-def _block_counts(lang: str, raw: bytes, slots: np.ndarray | None, step: int, cycle: int) -> Iterator[pa.RecordBatch]:
-    """The active phrases of pieces of one language, each once with its count. Words are active in the first cycle; a
-    longer phrase is if both subphrases have reached the threshold and the later one did in the last ``cycle`` steps."""
-    buf = np.frombuffer(raw, np.uint8)
+def _phrases(lang: str, buf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For 1, 2, ... words: the hash of the phrase that begins at each word, whether it lies in one piece, and where it
+    begins and ends."""
     starts, ends = W.runs(buf, _SEP)
-    words = W.mix(W.hash_runs(buf, starts, ends) + _seed(lang))
+    key = words = W.mix(W.hash_runs(buf, starts, ends) + _seed(lang))
     joins = buf[ends] != _LINE  # the piece goes on behind the word
-    reached = before = None
-    run = np.ones(len(words), bool)
-    for n, key in enumerate(phrase_keys(words), start=1):
-        if n == 1:
-            active = np.full(len(words), step <= cycle)
-        else:
-            run = run[:len(key)] & joins[n - 2:n - 2 + len(key)]
-            a, b = before[:-1], before[1:]
-            active = run & (a > 0) & (b > 0) & (np.maximum(a, b) >= step - cycle)
-        if active.any():
-            at = np.flatnonzero(active)
-            _, first, count = np.unique(key[at], return_index=True, return_counts=True)
-            begin = at[first]
-            text, where = gather(buf, starts[begin], ends[begin + n - 1] - starts[begin])
-            yield pa.RecordBatch.from_arrays([
-                pa.repeat(pa.scalar(lang), len(begin)), pa.repeat(pa.scalar(n, pa.int8()), len(begin)), strings(text, where),
-                pa.array(count.astype(np.int64))], ["lang", "k", "phrase", "c"])
-        if slots is None or n == LENGTHS:
-            return
-        before = np.where(run, slots[(key & np.uint64(len(slots) - 1)).astype(np.int64)], 0)
-
-
-def _counts(shard: DataFrame, slots, step: int, cycle: int) -> DataFrame:
-    """One step: the shard's active phrases with their counts in it."""
+    whole = np.ones(len(words), bool)
+    for n in range(1, LENGTHS + 1):
+        if n > 1:
+            m = max(len(words) - n + 1, 0)
+            key = W.mix(key[:m] * np.uint64(0xD1342543DE82EF95) + words[n - 1:])
+            whole = whole[:m] & joins[n - 2:n - 2 + m]
+        yield key, whole, starts[:len(key)], ends[n - 1:]
+
+
+def _steps(slots: np.ndarray, key: np.ndarray) -> np.ndarray:
+    return slots[(key >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+
+
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    for b in batches:
+        langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+        for part in W.slices(texts, BLOCK):
+            of: dict[str, list[str]] = {}
+            for lang, text in zip(langs[part], texts[part]):
+                of.setdefault(lang, []).append(text)
+            for lang, some in of.items():
+                for raw in _blocks("".join(some).encode("utf-8")):
+                    yield lang, np.frombuffer(raw, np.uint8)
+
+
+def pack_rest(key: np.ndarray, bits: int) -> np.ndarray:
+    """The REST_BITS of each hash below its top ``bits``, in five bytes."""
+    rest = (key << np.uint64(bits)) >> np.uint64(64 - REST_BITS)
+    return rest.view(np.uint8).reshape(-1, 8)[:, :REST_BITS // 8]
+
+
+def unpack_rest(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64).ravel()
+
+
+def _step_counts(shard: DataFrame, slots, step: int, cycle: int, bits: int, cap: int) -> DataFrame:
+    """One step: for each block of text, k, since (the step that made the phrases active) and range of hashes, the
+    hashes and counts of the active phrases. Words are active in the first cycle."""
+    kind = np.min_scalar_type(cap)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value if slots is not None else None
-        for b in batches:
-            langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for part in W.slices(texts, BLOCK):
-                of: dict[str, list[str]] = {}
-                for lang, text in zip(langs[part], texts[part]):
-                    of.setdefault(lang, []).append(text)
-                for lang, some in of.items():
-                    for raw in _blocks("".join(some).encode("utf-8")):
-                        yield from _block_counts(lang, raw, table, step, cycle)
-    return (shard.select("lang", "pieces").mapInArrow(run, "lang string, k byte, phrase string, c long")
-            .groupBy("lang", "k", "phrase").agg(F.sum("c").alias("c")))
-
-
-def _slot_table(reached: DataFrame, n_slots: int, table: np.ndarray) -> np.ndarray:
-    """``table`` with the phrases (lang, phrase, reached) that reached the threshold entered; n_slots rows at most come to
-    the driver."""
+        for lang, buf in _blocks_of(batches):
+            before, out = None, []
+            for k, (key, whole, _, _) in enumerate(_phrases(lang, buf), start=1):
+                if k == 1:
+                    since = np.zeros(len(key), np.uint8)
+                    active = np.full(len(key), step <= cycle)
+                else:
+                    a, b = before[:-1], before[1:]
+                    since = np.maximum(a, b)
+                    active = whole & (a > 0) & (b > 0) & (since >= max(step - cycle, 1))
+                for s in np.unique(since[active]):
+                    some, count = np.unique(key[active & (since == s)], return_counts=True)
+                    where = (some >> np.uint64(64 - bits)).astype(np.int64)
+                    edges = np.concatenate((np.flatnonzero(np.diff(where, prepend=-1)), [len(where)]))
+                    rest, capped = pack_rest(some, bits), np.minimum(count, cap).astype(kind)
+                    out += [(k, int(s), int(where[i]), rest[i:j].tobytes(), capped[i:j].tobytes()) for i, j in zip(edges, edges[1:])]
+                if table is None or k == LENGTHS:
+                    break
+                before = np.where(whole, _steps(table, key), 0)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int8(), pa.int8(), pa.int32(), pa.binary(), pa.binary()))],
+                                                 ["k", "since", "part", "rest", "counts"])
+    return shard.select("lang", "pieces").mapInArrow(run, "k byte, since byte, part int, rest binary, counts binary")
+
+
+def _reached(counts: DataFrame, bits: int, cap: int) -> np.ndarray:
+    """The slots of hashes whose counts come to the threshold; 2^SLOT_BITS at most come to the driver."""
+    kind = np.min_scalar_type(cap)
+
+    def add(rests: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        key, place = np.unique(np.concatenate(rests), return_inverse=True)
+        return key, np.bincount(place, np.concatenate(counts), len(key))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, rests, totals = None, [], []
+
+        def slots() -> pa.RecordBatch:
+            key, total = add(rests, totals)
+            full = key[total >= cap] | np.uint64(part << REST_BITS)
+            found = np.unique(full >> np.uint64(bits + REST_BITS - SLOT_BITS))
+            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32))], ["slot"])
         for b in batches:
-            langs, phrases = b.column(0).to_pylist(), b.column(1).to_pylist()
-            step = b.column(2).to_numpy(zero_copy_only=False)
-            for n in range(1, LENGTHS):
-                rows = np.array([i for i, p in enumerate(phrases) if p.count(" ") == n - 1], np.int64)
-                if not len(rows):
-                    continue
-                buf, _ = W.joined([phrases[i] for i in rows])
-                starts, ends = W.runs(buf, _SEP)
-                seeds = np.array([_seed(langs[i]) for i in rows], np.uint64)
-                word = W.mix(W.hash_runs(buf, starts, ends) + np.repeat(seeds, n))
-                key = list(phrase_keys(word))[n - 1][::n]
+            for p, rest, count in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if part is not None and p != part:
+                    yield slots()
+                    rests, totals = [], []
+                part = p
+                rests.append(unpack_rest(rest))
+                totals.append(np.frombuffer(count, kind).astype(np.float64))
+                if len(rests) > 64:  # repeated hashes of many blocks become one
+                    rests, totals = ([x] for x in add(rests, totals))
+        if rests:
+            yield slots()
+    n = max(1, min(1 << bits, 4 * shuffle_partitions(counts)))
+    rows = counts.select("part", "rest", "counts").repartition(n, "part").sortWithinPartitions("part")
+    return rows.mapInArrow(run, "slot int").distinct().toPandas()["slot"].to_numpy(np.int64)
+
+
+def _named(table: DataFrame, slots) -> DataFrame:
+    """All phrases that the slots may hold, with their counts by the phrase itself."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = slots.value
+        for lang, buf in _blocks_of(batches):
+            before = None
+            for k, (key, whole, starts, ends) in enumerate(_phrases(lang, buf), start=1):
+                active = whole & (_steps(tables[k == LENGTHS], key) > 0)
+                if before is not None:
+                    active &= before[:-1] & before[1:]
+                before = active
+                at = np.flatnonzero(active)
+                if not len(at):
+                    break
+                _, first, count = np.unique(key[at], return_index=True, return_counts=True)
+                begin = at[first]
+                text, where = gather(buf, starts[begin], ends[begin] - starts[begin])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array((key & np.uint64(n_slots - 1)).astype(np.int32)), pa.array(step[rows].astype(np.int8))], ["slot", "step"])
-    got = reached.select("lang", "phrase", "reached").mapInArrow(run, "slot int, step byte").groupBy("slot").agg(F.max("step").alias("step")).toPandas()
-    table = table.copy()
-    table[got["slot"].to_numpy(np.int64)] = got["step"].to_numpy(np.uint8)
-    return table
+                    pa.repeat(pa.scalar(lang), len(begin)), pa.repeat(pa.scalar(k, pa.int8()), len(begin)), strings(text, where),
+                    pa.array(count.astype(np.int64))], ["lang", "k", "phrase", "c"])
+    return (table.select("lang", "pieces").mapInArrow(run, "lang string, k byte, phrase string, c long")
+            .groupBy("lang", "k", "phrase").agg(F.sum("c").alias("f")))
 
 
-def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = SHARDS, n_slots: int = SLOTS) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """docs (text, lang, ...) -> (lang, k, phrase, f) for the phrases of up to LENGTHS words that occur ``threshold`` times or
     more in their language, and (lang, n): all words of each language."""
-    if n_slots & (n_slots - 1) or 3 * n_shards > 120:
-        raise ValueError("slots are a power of two, and shards 40 at most")
-    spark = docs.sparkSession
+    if not 1 <= n_shards <= 40 or threshold < 1:
+        raise ValueError("1 to 40 shards and a threshold of 1 or more")
+    broadcast = docs.sparkSession.sparkContext.broadcast
     table = stored(shards(docs, n_shards), "shards", by="shard")
-    per_shard = [f"s{i}" for i in range(n_shards)]
-    total = sum((F.coalesce(F.col(c), F.lit(0)) for c in per_shard), F.lit(0).cast("long"))
-    keys = ["lang", "k", "phrase"]
-
-    def added(counts: DataFrame) -> DataFrame:
-        return counts.groupBy(*keys).agg(*[F.max(c).alias(c) for c in per_shard], F.min("reached").alias("reached"))
-
-    state, longest, slots = None, [], None
-    marks, step, last = np.zeros(n_slots, np.uint8), 0, 0
-    while step < n_shards or step < last + n_shards:
+    n_words = table.groupBy("lang").agg(F.sum("n_words").alias("n"))
+    words = int(n_words.agg(F.sum("n")).first()[0] or 0)
+    bits = max(4, min(16, (words // RANGE_WORDS).bit_length()))
+    steps: list[DataFrame] = []
+    marks, sent = np.zeros(1 << SLOT_BITS, np.uint8), None
+    step = last = 0
+    while step < max(n_shards, last + n_shards):
         step += 1
-        here = (step - 1) % n_shards
-        got = _counts(table.where(F.col("shard") == here), slots, step, n_shards)
-        got = stored(got.withColumns({c: F.col("c") if i == here else F.lit(None).cast("long") for i, c in enumerate(per_shard)})
-                     .withColumn("reached", F.lit(None).cast("int")).drop("c"), f"counts{step}", by="k").select(*keys, *per_shard, "reached")
-        longest.append(got.where(F.col("k") == LENGTHS))
+        shard = table.where(F.col("shard") == (step - 1) % n_shards)
+        steps.append(stored(_step_counts(shard, sent, step, n_shards, bits, threshold), f"step{step}", by="k"))
         if step > (LENGTHS - 1) * n_shards:  # only the longest phrases can still be active
             continue
-        shorter = got.where(F.col("k") < LENGTHS)
-        shorter = added(state.unionByName(shorter)) if state is not None else shorter
-        shorter = shorter.withColumn("reached", F.coalesce("reached", F.when(total >= threshold, F.lit(step))))
-        if step >= n_shards:  # words are complete: the rare ones can go
-            shorter = shorter.where((F.col("k") > 1) | F.col("reached").isNotNull())
-        state = stored(shorter, f"state{step}")
-        new = _slot_table(state.where(F.col("reached") == step), n_slots, marks)
-        if (new != marks).any():
-            marks, last = new, step
-            if slots is not None:
-                slots.unpersist()
-            slots = spark.sparkContext.broadcast(marks)
-    counts = state.unionByName(added(reduce(DataFrame.unionByName, longest))).select(*keys, total.alias("f"))
-    return counts.where(F.col("f") >= threshold), table.groupBy("lang").agg(F.sum("n_words").alias("n"))
+        shorter = reduce(DataFrame.unionByName, steps[-n_shards:]).where((F.col("k") < LENGTHS) & (F.col("since") >= step - n_shards))
+        slots = _reached(shorter, bits, threshold)
+        new = slots[marks[slots] == 0]
+        if len(new):
+            marks[new], last = step, step
+            if sent is not None:
+                sent.unpersist()
+            sent = broadcast(marks.copy())
+    longest = np.zeros_like(marks)
+    longest[_reached(reduce(DataFrame.unionByName, steps).where(F.col("k") == LENGTHS), bits, threshold)] = 1
+    named = _named(table, broadcast((marks, longest)))
+    return named.where(F.col("f") >= threshold), n_words
 
 
 def _cut_after(n: int, k: int) -> tuple:
@@ -240,9 +288,9 @@ def _cut_after(n: int, k: int) -> tuple:
     return F.substring_index("phrase", " ", k), F.substring_index("phrase", " ", k - n)
 
 
-def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_shards: int = SHARDS, n_slots: int = SLOTS) -> DataFrame:
+def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_shards: int = SHARDS) -> DataFrame:
     """docs (text, lang, ...) -> lang, rank, phrase, a, l, r, n, score: each language's ``top`` phrases by score."""
-    counted, n_words = phrase_counts(docs, threshold, n_shards, n_slots)
+    counted, n_words = phrase_counts(docs, threshold, n_shards)
     counted = stored(counted, "counted")
     phrases = counted.where("k > 1").select("lang", "k", "phrase", F.col("f").alias("a"))
     parts = counted.select("lang", F.col("phrase").alias("part"), "f")
