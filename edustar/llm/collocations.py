@@ -194,7 +194,8 @@ def _step_counts(shard: DataFrame, slots, step: int, cycle: int, bits: int, cap:
 
 
 def _reached(counts: DataFrame, bits: int, cap: int) -> np.ndarray:
-    """The slots of hashes whose counts come to the threshold; 2^SLOT_BITS at most come to the driver."""
+    """The slots of hashes whose counts come to the threshold. A range of hashes holds slots of its own, so one packed
+    row a range comes to the driver, 2^SLOT_BITS slots of 4 bytes at most in all."""
     kind = np.min_scalar_type(cap)
 
     def add(rests: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +209,7 @@ def _reached(counts: DataFrame, bits: int, cap: int) -> np.ndarray:
             key, total = add(rests, totals)
             full = key[total >= cap] | np.uint64(part << REST_BITS)
             found = np.unique(full >> np.uint64(bits + REST_BITS - SLOT_BITS))
-            return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32))], ["slot"])
+            return pa.RecordBatch.from_arrays([pa.array([found.astype(np.int32).tobytes()], pa.binary())], ["slots"])
         for b in batches:
             for p, rest, count in zip(*(b.column(i).to_pylist() for i in range(3))):
                 if part is not None and p != part:
@@ -223,7 +224,7 @@ def _reached(counts: DataFrame, bits: int, cap: int) -> np.ndarray:
             yield slots()
     n = max(1, min(1 << bits, 4 * shuffle_partitions(counts)))
     rows = counts.select("part", "rest", "counts").repartition(n, "part").sortWithinPartitions("part")
-    return rows.mapInArrow(run, "slot int").distinct().toPandas()["slot"].to_numpy(np.int64)
+    return np.frombuffer(b"".join(bytes(r["slots"]) for r in rows.mapInArrow(run, "slots binary").collect()), np.int32)
 
 
 def _named(table: DataFrame, slots) -> DataFrame:
