@@ -37,7 +37,6 @@ from pyspark.sql.window import Window
 
 from edustar.llm import words as W
 from edustar.llm.store import shuffle_partitions, stored
-from edustar.operators.joins import lookup_join
 
 THRESHOLD, LENGTHS = 10, 3
 SHARDS = 3
@@ -299,7 +298,8 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_
     cuts = [F.struct(F.lit(k).alias("cut"), F.lit(side).alias("side"), _cut_after(n, k)[side].alias("part"), F.lit(n).alias("of"))
             for n in range(2, LENGTHS + 1) for k in range(1, n) for side in (0, 1)]
     halves = phrases.select("lang", "k", "phrase", "a", F.explode(F.filter(F.array(*cuts), lambda c: c["of"] == F.col("k"))).alias("c"))
-    halves = lookup_join(halves.select("lang", "phrase", "a", "c.cut", "c.side", "c.part"), parts, ["lang", "part"], "inner")
+    # both sides are plain shuffles of written rows, so the adaptive skew join splits a word of very many phrases
+    halves = halves.select("lang", "phrase", "a", "c.cut", "c.side", "c.part").join(parts, ["lang", "part"])
     both = halves.groupBy("lang", "phrase", "a", "cut").agg(
         F.max(F.when(F.col("side") == 0, F.col("f"))).alias("l"), F.max(F.when(F.col("side") == 1, F.col("f"))).alias("r"))
     # 10^6 * a * a fits 38 digits up to a = 10^16
