@@ -72,14 +72,13 @@ class Warehouse:
         return f"{self.root}/lookups/{name}"
 
     # -- build ----------------------------------------------------------------
-    def build(self, csv_files: dict[str, str] | None = None, multi_line: bool = False) -> "Warehouse":
+    def build(self, csv_files: dict[str, str] | None = None, multi_line: bool | None = None) -> "Warehouse":
         """Land each raw table and write the mart built from it.
 
         By default the raw tables come from the driver tables under ``sf_dir``. With
         ``csv_files`` ({"raw_gias": path, "raw_attendance": path, "raw_ks4": path}) they
         are read from the published CSV extracts instead (register in Latin-1, the two
-        statistics files in UTF-8), as the original loader does; ``multi_line`` reads files
-        with newlines inside quoted fields, one task a file.
+        statistics files in UTF-8), as the original loader does; ``multi_line`` as in ``files.read_csv``.
 
         Each mart depends on one raw table only (dim_school <- raw_gias, the attendance
         fact <- raw_attendance, the results fact <- raw_ks4), so the three chains

@@ -98,3 +98,6 @@ WORD_CHAR = r"\p{L}\p{N}_"
 
 # Whitespace as Python's str.strip() sees it.
 SPACE_CLASS = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+
+#: The column that identifies a row of each mart (guarded by the uniqueness checks).
+MART_KEYS = {"dim_school": "urn", "fct_attendance_weekly": "attendance_key", "fct_ks4_results": "ks4_key"}

@@ -4,21 +4,25 @@ Reading rules follow the original loader: the register is Latin-1, the statistic
 files UTF-8; nothing is type-inferred; a malformed row aborts the load (FAILFAST);
 the reader's NULL tokens become NULL while suppression markers survive as text.
 
-``multiLine=True`` (the default) is needed when quoted fields may hold newlines; it
-makes each input file a single split, so the landing writes Parquet at once and every
-later read splits normally. For large files known to be free of embedded newlines,
-``multi_line=False`` lets Spark split each file across many tasks.
+A quoted field may hold line breaks. By default a first scan finds the record boundaries in parallel (see
+``records``): files without such fields are split by Spark's own reader, others are put together from their lines
+by many tasks. ``multi_line=True`` leaves it to Spark's reader, one task a file; ``multi_line=False`` skips the scan
+for files known to hold one record a line.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from edustar.schema import NULL_TOKENS, REGISTER_COLUMNS
+from edustar.session import storage_root
+from edustar.sources.records import find_boundaries, records
 
 _HEADER_PART = re.compile("[a-z0-9]+")
 _BOMS = ("\ufeff", "\u00ef\u00bb\u00bf")  # the BOM decoded as UTF-8, and as Latin-1
@@ -85,21 +89,39 @@ def _reader(spark: SparkSession, encoding: str, multi_line: bool = False):
             .option("columnPruning", False))
 
 
-def read_register_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """School register CSV (Latin-1) -> the 7 landed columns, all text.
-
-    By default Spark splits one large file across tasks, and a record with a newline inside a quoted
-    field aborts the read (FAILFAST); ``multi_line=True`` reads such files, one task a file.
-    """
-    df = _reader(spark, "ISO-8859-1", multi_line).csv(path)
+def _keep(spark: SparkSession, run: str):
+    """Writes the boundary finder's small tables to the shared folder."""
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        path = f"{storage_root(spark)}/csv/{run}/{name}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    return keep
+
+
+def read_csv(spark: SparkSession, path: str, encoding: str, multi_line: bool | None = None) -> DataFrame:
+    """Headed CSV files -> all columns as text. A record with too few or too many fields, or cut inside quotes, aborts."""
+    if multi_line is not None:
+        return _reader(spark, encoding, multi_line).csv(path)
+    found = find_boundaries(spark, path, encoding, _keep(spark, uuid.uuid4().hex))
+    if not found.spans_lines:
+        return _reader(spark, encoding, False).csv(path)
+    schema = _reader(spark, encoding, True).csv(path).schema  # reads the first file's header
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST", "multiLine": "true", "columnPruning": "false"}
+    plain = StructType([StructField(f"c{i}", StringType()) for i in range(len(schema))])
+    row = F.from_csv("record", plain.simpleString()[len("struct<"):-1].replace(":", " "), options)
+    return records(spark, path, encoding, found.blocks).select(row.alias("r")).select("r.*").toDF(*schema.names)
+
+
+def read_register_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """School register CSV (Latin-1) -> the 7 landed columns, all text."""
+    df = read_csv(spark, path, "ISO-8859-1", multi_line)
     require_columns(df, REGISTER_COLUMNS)
     return na_tokens_to_null(rename_map(df, REGISTER_COLUMNS))
 
 
-def read_ees_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Statistics CSV (UTF-8) -> every column, all text, headers sanitised (see ``multi_line`` above)."""
-    df = _reader(spark, "UTF-8", multi_line).csv(path)
-    return na_tokens_to_null(sanitise_headers(df))
+def read_ees_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+    """Statistics CSV (UTF-8) -> every column, all text, headers sanitised."""
+    return na_tokens_to_null(sanitise_headers(read_csv(spark, path, "UTF-8", multi_line)))
 
 
 def land_raw(df: DataFrame, path: str, count: bool = True) -> int | None:
