@@ -9,9 +9,12 @@ sort that orders it), they share one function.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edustar.functions import pad_code, period_index, period_label, strict_int, suppressed_to_null, try_int
@@ -26,6 +29,7 @@ from edustar.plans.pipeline import warehouse
 from edustar.schema import NULL_TOKENS, REGISTER_COLUMNS, SCREEN_MESSAGES
 from edustar.sources import files
 from edustar.sources.fixtures import read_table
+from edustar.sources.records import CutRecordError
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,10 +66,12 @@ def W(spark, sf_dir):
 
 
 def _tables(spark, sf_dir):
-    wh = W(spark, sf_dir)
-    t = {n: wh.staging(n) for n in ("stg_gias", "stg_attendance", "stg_ks4")}
-    t.update({n: wh.mart(n) for n in ("dim_school", "fct_attendance_weekly", "fct_ks4_results")})
-    return t
+    return W(spark, sf_dir).tables()
+
+
+def _own_folder(wh, name: str) -> str:
+    """A folder for one call: a later call never changes what an earlier frame reads."""
+    return f"{wh.root}/files/{uuid.uuid4().hex}/{name}"
 
 
 def _enriched(spark, sf_dir):
@@ -78,47 +84,102 @@ def _schools(spark, sf_dir):
 
 # ===================================================================== 2.1 sources
 
-@register(["src_register_csv", "require_columns", "rename_map", "empty_to_null"], O.sql("SELECT * FROM raw_gias"))
+#: What some values become before they are written as CSV: text with a line break, quotes and a delimiter.
+BROKEN_SQL = "{c} || chr(10) || '\"annexe\", north'"
+
+
+def _broken(column: str, every) -> Column:
+    return F.when(every, F.concat(column, F.lit('\n"annexe", north'))).otherwise(F.col(column)).alias(column)
+
+
+def _register_csv(wh, raw: DataFrame, leave_out=()) -> str:
+    """The landed register as a CSV with the register's headers (Latin-1)."""
+    back = {v: k for k, v in REGISTER_COLUMNS.items()}
+    path = _own_folder(wh, "register_csv")
+    files.write_csv(raw.select(*[F.col(c).alias(back[c]) for c in raw.columns if back[c] not in leave_out]), path, encoding="ISO-8859-1")
+    return path
+
+
+@register(["src_register_csv", "rename_map", "empty_to_null"], O.sql(
+    "SELECT * REPLACE (CASE WHEN CAST(urn AS INTEGER) % 11 = 0 THEN " + BROKEN_SQL.format(c="establishment_name")
+    + " ELSE establishment_name END AS establishment_name) FROM raw_gias"))
 def q_src_register_csv(spark, sf_dir):
-    """Landed register -> CSV (Latin-1, register headers) -> read back through the register reader."""
+    """Landed register, some names with line breaks -> CSV (Latin-1, register headers) -> read back through the register reader."""
     wh = W(spark, sf_dir)
-    path = f"{wh.root}/files/register_csv"
-    back = {v: k for k, v in REGISTER_COLUMNS.items()}
     raw = wh.raw("raw_gias")
-    files.write_csv(raw.select(*[F.col(c).alias(back[c]) for c in raw.columns]), path, encoding="ISO-8859-1")
-    return files.read_register_csv(spark, path)
+    return files.read_register_csv(spark, _register_csv(wh, raw.withColumn("establishment_name", _broken(
+        "establishment_name", F.col("urn").cast("int") % 11 == 0))))
 
 
-@register(["src_ees_csv", "abort_on_malformed"], O.sql("SELECT * FROM raw_attendance"))
+@register("require_columns", O.sql(
+    "SELECT 'whole' AS input, CAST(NULL AS VARCHAR) AS message, count(*) AS n_rows FROM raw_gias UNION ALL "
+    "SELECT 'two columns less', " + O.q("input lacks the column(s) 'GOR (name)', 'LA (name)'") + ", CAST(NULL AS BIGINT)"))
+def q_require_columns(spark, sf_dir):
+    """The landed register as a CSV, whole and without two columns: what the reader says before any row is read."""
+    wh = W(spark, sf_dir)
+    out = []
+    for name, leave_out in (("whole", ()), ("two columns less", ("GOR (name)", "LA (name)"))):
+        path = _register_csv(wh, wh.raw("raw_gias"), leave_out)
+        try:
+            out.append(files.read_register_csv(spark, path).agg(F.lit(name).alias("input"), F.lit(None).cast("string").alias("message"),
+                                                                F.count("*").alias("n_rows")))
+        except ValueError as e:
+            out.append(spark.range(1).select(F.lit(name).alias("input"), F.lit(str(e)).alias("message"), F.lit(None).cast("long").alias("n_rows")))
+    return C._union(out)
+
+
+@register("src_ees_csv", O.sql(
+    "SELECT * REPLACE (CASE WHEN geographic_level = 'National' THEN " + BROKEN_SQL.format(c="school_type")
+    + " ELSE school_type END AS school_type) FROM raw_attendance"))
 def q_src_ees_csv(spark, sf_dir):
-    """Landed attendance -> CSV (UTF-8) -> read back through the statistics reader."""
+    """Landed attendance, national rows with a line break -> CSV (UTF-8) -> read back through the statistics reader."""
     wh = W(spark, sf_dir)
-    path = f"{wh.root}/files/attendance_csv"
-    files.write_csv(wh.raw("raw_attendance"), path, encoding="UTF-8")
+    path = _own_folder(wh, "attendance_csv")
+    files.write_csv(wh.raw("raw_attendance").withColumn("school_type", _broken("school_type", F.col("geographic_level") == "National")), path)
     return files.read_ees_csv(spark, path)
 
 
+#: A last record for a copy of the landed results, and whether it must stop the load.
+DAMAGES = {"none": None, "short": '"2022","x"\n', "long": ",".join(['"1"'] * 60) + "\n", "cut": '"2022","never clo'}
+
+
+@register("abort_on_malformed", O.sql(
+    "SELECT 'none' AS damage, FALSE AS aborted, count(*) AS n_landed FROM raw_ks4 UNION ALL "
+    "SELECT unnest(['short', 'long', 'cut']), TRUE, CAST(NULL AS BIGINT)"))
+def q_abort_on_malformed(spark, sf_dir):
+    """The landed results as a CSV, as they are and with one damaged record: whether landing them stops, and the rows landed."""
+    wh = W(spark, sf_dir)
+    out = []
+    for name, record in DAMAGES.items():
+        path = _own_folder(wh, "ks4_csv")
+        files.write_csv(wh.raw("raw_ks4"), path)
+        if record:
+            head = ",".join(f'"{c}"' for c in wh.raw("raw_ks4").columns)
+            spark.range(1).select(F.lit(f"{head}\n{record}")).coalesce(1).write.mode("append").option("lineSep", " ").text(path)
+        try:
+            n, aborted = files.land_raw(files.read_ees_csv(spark, path), _own_folder(wh, "landed")), False
+        except (CutRecordError, PySparkException, Py4JJavaError):
+            n, aborted = None, True
+        out.append((name, aborted, n))
+    return spark.createDataFrame(out, "damage string, aborted boolean, n_landed long")
+
+
 @register("sanitise_headers", O.sql("SELECT * FROM raw_ks4"))
 def q_sanitise_headers(spark, sf_dir):
     """Landed results -> CSV with display-style headers ('School Urn', ...) -> read back, headers sanitised."""
     wh = W(spark, sf_dir)
-    path = f"{wh.root}/files/ks4_csv"
+    path = _own_folder(wh, "ks4_csv")
     raw = wh.raw("raw_ks4")
     files.write_csv(raw.select(*[F.col(c).alias(c.replace("_", " ").title()) for c in raw.columns]), path)
     return files.read_ees_csv(spark, path)
 
 
-_RAW_ATT_COLS = ("time_period", "time_identifier", "geographic_level", "old_la_code", "new_la_code", "la_name",
-                 "school_type", "possible_sessions", "overall_absence_perc", "authorised_absence_perc",
-                 "unauthorised_absence_perc", "attendance_perc")
-
-
-@register("na_tokens_to_null", O.sql("SELECT " + ", ".join(
-    f"CASE WHEN {c} IN {O.in_list(NULL_TOKENS)} THEN NULL ELSE {c} END AS {c}" for c in _RAW_ATT_COLS)
-    + " FROM raw_attendance"))
+@register("na_tokens_to_null", O.sql("SELECT * FROM raw_gias"))
 def q_na_tokens_to_null(spark, sf_dir):
-    """The reader's NULL-token rule over every landed attendance column (markers survive)."""
-    return files.na_tokens_to_null(W(spark, sf_dir).raw("raw_attendance"))
+    """Landed register with its NULL regions spelled by the reader's NULL tokens in turn -> CSV -> read back as NULL."""
+    wh = W(spark, sf_dir)
+    token = F.get(F.array(*map(F.lit, NULL_TOKENS)), F.col("urn").cast("int") % len(NULL_TOKENS))
+    return files.read_register_csv(spark, _register_csv(wh, wh.raw("raw_gias").withColumn("region_name", F.coalesce("region_name", token))))
 
 
 @register(["land_raw", "raw_gias"], O.sql("SELECT * FROM raw_gias"))
@@ -139,20 +200,45 @@ def q_raw_ks4(spark, sf_dir):
 @register("load_counts", O.sql(O.union([
     f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in ("raw_gias", "raw_attendance", "raw_ks4")])))
 def q_load_counts(spark, sf_dir):
-    wh = W(spark, sf_dir)
-    return files.load_counts(spark, {n: wh.raw_path(n) for n in ("raw_gias", "raw_attendance", "raw_ks4")})
+    return files.load_counts(W(spark, sf_dir).metrics)
 
 
-@register(["export_marts", "materialise_table"], O.sql(O.union([
-    f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}"
-    for t in ("dim_school", "fct_attendance_weekly", "fct_ks4_results")])))
+_MART_COLUMNS = {
+    "dim_school": {"urn": "", "establishment_name": "", "phase": "", "is_secondary": "", "la_code": "", "la_name": "", "region": ""},
+    "fct_attendance_weekly": {
+        "attendance_key": "", "la_code": "", "academic_year": "", "week_label": "", "phase": "", "possible_sessions": "",
+        "pct_overall_absence": "double", "pct_authorised_absence": "double", "pct_unauthorised_absence": "double", "pct_attendance": "double"},
+    "fct_ks4_results": {
+        "ks4_key": "", "urn": "", "school_name": "", "la_name": "", "academic_year": "", "attainment8_score": "double",
+        "pct_grade5_eng_maths": "double", "ebacc_aps": "double"},
+}
+_STAGING_COLUMNS = {
+    "stg_gias": {"urn": "", "establishment_name": "", "phase": "", "la_code": "", "la_name": "", "region": "", "establishment_status": ""},
+}
+
+
+@register("export_marts", O.sql(O.union([O.digest_row(t, c) for t, c in _MART_COLUMNS.items()])))
 def q_export_marts(spark, sf_dir):
+    """The serving copy of the marts, published in a folder of its own: rows and content digest read back."""
     wh = W(spark, sf_dir)
-    marts = {n: wh.mart(n) for n in ("dim_school", "fct_attendance_weekly", "fct_ks4_results")}
-    return files.export_marts(marts, f"{wh.root}/export")
+    return files.export_marts({n: wh.mart(n) for n in wh.MARTS}, _own_folder(wh, "export"))
+
+
+@register("materialise_table", O.sql(O.union([O.digest_row(t, c) for t, c in _MART_COLUMNS.items()])))
+def q_materialise_table(spark, sf_dir):
+    """The stored marts of the published version: rows and content digest."""
+    wh = W(spark, sf_dir).refresh()
+    return files.content_digests({n: wh.mart(n) for n in wh.MARTS})
+
+
+@register("materialise_view", O.sql(O.union([O.digest_row(t, c) for t, c in _STAGING_COLUMNS.items()])))
+def q_materialise_view(spark, sf_dir):
+    """A staging view read by its name: rows and content digest."""
+    W(spark, sf_dir).register_views()
+    return files.content_digests({n: spark.table(n) for n in _STAGING_COLUMNS})
 
 
-@register(["mart_query", "materialise_view"], O.sql(MART_SQL))
+@register("mart_query", O.sql(MART_SQL))
 def q_mart_query(spark, sf_dir):
     wh = W(spark, sf_dir)
     wh.register_views()
@@ -594,12 +680,14 @@ def q_dq_unique(spark, sf_dir):
 
 @register("dq_not_null", O.sql(O.union(O.NOT_NULL_CHECKS)))
 def q_dq_not_null(spark, sf_dir):
-    return C.not_null_checks(_tables(spark, sf_dir))
+    """Counted by the jobs that wrote the tables."""
+    return C.observed_summary(W(spark, sf_dir).metrics, "not_null")
 
 
 @register("dq_accepted_values", O.sql(O.union(O.ACCEPTED_CHECKS)))
 def q_dq_accepted_values(spark, sf_dir):
-    return C.accepted_values_checks(_tables(spark, sf_dir))
+    """Counted by the jobs that wrote the tables."""
+    return C.observed_summary(W(spark, sf_dir).metrics, "accepted_values")
 
 
 @register(["dq_relationships", "dq_severity"], O.sql(O.union(O.RELATIONSHIP_CHECKS)))
@@ -624,7 +712,7 @@ def q_dq_year_form(spark, sf_dir):
 
 @register("dq_summary", O.sql(O.union(O.UNIQUE_CHECKS + O.NOT_NULL_CHECKS + O.ACCEPTED_CHECKS + O.RELATIONSHIP_CHECKS)))
 def q_dq_summary(spark, sf_dir):
-    return C.dq_summary(_tables(spark, sf_dir))
+    return W(spark, sf_dir).checked()
 
 
 # ===================================================================== 2.13 query screen

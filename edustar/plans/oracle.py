@@ -28,6 +28,16 @@ def num(col: str) -> str:
     return f"CASE WHEN regexp_full_match({col}, {q(NUMERIC_PATTERN)}) THEN TRY_CAST({col} AS DOUBLE) END"
 
 
+def digest_row(table: str, columns: dict[str, str]) -> str:
+    """Rows and content digest of a table: columns by name, doubles with six decimals, 60 bits of the MD5 of each row summed."""
+    def text(c: str) -> str:
+        value = f"CAST(CAST({c} AS DECIMAL(30,6)) AS VARCHAR)" if columns[c] == "double" else f"CAST({c} AS VARCHAR)"
+        return f"coalesce(length({value}) || ':' || {value}, '-')"
+    row = " || ".join(text(c) for c in sorted(columns))
+    return (f"SELECT {q(table)} AS table_name, count(*) AS n_rows, "
+            f"CAST(coalesce(sum(CAST('0x' || substr(md5({row}), 1, 15) AS HUGEINT)), 0) AS VARCHAR) AS digest FROM {table}")
+
+
 RAW = f"""
 raw_gias AS (
   SELECT CAST(c.c_custkey + 100000 AS VARCHAR) AS urn,

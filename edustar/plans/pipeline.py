@@ -18,10 +18,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from edustar.operators import checks as _checks
 from edustar.operators import insights as _ins
 from edustar.operators import marts as _marts
 from edustar.operators import staging as _stg
 from edustar.session import storage_root
+from edustar.sources import manifest
 from edustar.sources.fixtures import RAW_BUILDERS
 from edustar.sources.files import land_raw, read_ees_csv, read_register_csv
 
@@ -58,36 +60,63 @@ class Warehouse:
         self.sf_dir = sf_dir.rstrip("/")
         tag = "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir.strip("/"))[-60:]
         self.root = root or f"{storage_root(spark)}/edustar/{_RUN}/{tag}"
-        self.built = False
+        self._version: str | None = None
         self._frames: dict[str, DataFrame] = {}
 
     # -- paths ----------------------------------------------------------------
+    @property
+    def version(self) -> str:
+        """The version that this warehouse reads: the one it built, else the published one."""
+        if self._version is None:
+            self._version = manifest.current(self.spark, self.root)
+            if self._version is None:
+                raise RuntimeError(f"nothing is published under {self.root}; build first")
+        return self._version
+
+    def refresh(self) -> "Warehouse":
+        """Read the version that is published now."""
+        self._version = None
+        self._frames.clear()
+        return self
+
     def raw_path(self, name: str) -> str:
-        return f"{self.root}/raw/{name}"
+        return f"{self.root}/versions/{self.version}/raw/{name}"
 
     def mart_path(self, name: str) -> str:
-        return f"{self.root}/marts/{name}"
+        return f"{self.root}/versions/{self.version}/marts/{name}"
 
     def lookup_path(self, name: str) -> str:
-        return f"{self.root}/lookups/{name}"
+        return f"{self.root}/versions/{self.version}/lookups/{name}"
 
     # -- build ----------------------------------------------------------------
-    def build(self, csv_files: dict[str, str] | None = None, multi_line: bool | None = None) -> "Warehouse":
-        """Land each raw table and write the mart built from it.
+    def build(self, csv_files: dict[str, str] | None = None, multi_line: bool | None = None, check: bool = False) -> "Warehouse":
+        """Write a new version of every table, check it, then publish it.
 
         By default the raw tables come from the driver tables under ``sf_dir``. With
         ``csv_files`` ({"raw_gias": path, "raw_attendance": path, "raw_ks4": path}) they
         are read from the published CSV extracts instead (register in Latin-1, the two
         statistics files in UTF-8), as the original loader does; ``multi_line`` as in ``files.read_csv``.
 
-        Each mart depends on one raw table only (dim_school <- raw_gias, the attendance
-        fact <- raw_attendance, the results fact <- raw_ks4), so the three chains
-        (land raw, then write its mart) are submitted together, one thread each; Spark
-        runs concurrent jobs of one application side by side. Any failure re-raises.
+        The version lies in a folder of its own until all is written and, with ``check``, no error-level check fails
+        (``DataCheckError``); then the manifest makes it current. Whatever fails before that, readers keep the version
+        before. Row counts and row checks are observed by the writing jobs and stored beside the tables.
         """
-        self._frames.clear()
+        draft = Warehouse(self.spark, self.sf_dir, self.root, self.partition_facts_by_year)
+        draft._version = manifest.new_version()
+        draft._write(csv_files, multi_line)
+        if check:
+            _checks.raise_on_error(draft.checked())
+        manifest.publish(self.spark, self.root, draft.version)
+        self._version, self._frames = draft._version, draft._frames
+        return self
+
+    def _write(self, csv_files: dict[str, str] | None, multi_line: bool | None) -> None:
+        """Each mart depends on one raw table only (dim_school <- raw_gias, the attendance fact <- raw_attendance, the
+        results fact <- raw_ks4), so the three chains (land raw, then write its mart) are submitted together, one thread
+        each; Spark runs concurrent jobs of one application side by side. Any failure re-raises."""
         source = {"dim_school": "raw_gias", "fct_attendance_weekly": "raw_attendance", "fct_ks4_results": "raw_ks4"}
         readers = {"raw_gias": read_register_csv, "raw_attendance": read_ees_csv, "raw_ks4": read_ees_csv}
+        metrics: list[tuple] = []
 
         def raw_frame(raw_name: str) -> DataFrame:
             if csv_files:
@@ -97,21 +126,24 @@ class Warehouse:
         def chain(mart: str) -> None:
             raw_name = source[mart]
             stg_name, fn = _marts.MART_BUILDERS[mart]
-            land_raw(raw_frame(raw_name), self.raw_path(raw_name), count=False)
-            writer = fn(self.staging(stg_name)).write.mode("overwrite")
+            n_rows = land_raw(raw_frame(raw_name), self.raw_path(raw_name))
+            # staging and mart are one map-only job: every row passes both counters once
+            staged, of_staging = _checks.observed(self.staging(stg_name), stg_name)
+            rows, of_mart = _checks.observed(fn(staged), mart)
+            writer = rows.write
             if self.partition_facts_by_year and mart.startswith("fct_"):
                 writer = writer.partitionBy("academic_year")
             writer.parquet(self.mart_path(mart))
+            metrics.extend([(raw_name, "rows", "*", n_rows)] + _checks.metric_rows(stg_name, of_staging) + _checks.metric_rows(mart, of_mart))
             if mart == "dim_school":
                 # the dimension collapsed to one region per LA (by code and by name): tiny,
                 # written with it so the queries do not re-aggregate the dimension each time
                 dim = self.spark.read.parquet(self.mart_path(mart))
-                _ins.region_per_la(dim).write.mode("overwrite").parquet(self.lookup_path("la_region"))
-                _ins.region_per_la_name(dim).write.mode("overwrite").parquet(self.lookup_path("la_region_by_name"))
+                _ins.region_per_la(dim).write.parquet(self.lookup_path("la_region"))
+                _ins.region_per_la_name(dim).write.parquet(self.lookup_path("la_region_by_name"))
 
         _run_together([lambda m=m: chain(m) for m in source])
-        self.built = True
-        return self
+        self.spark.createDataFrame(metrics, _checks.METRICS_SCHEMA).coalesce(1).write.parquet(self.lookup_path("metrics"))
 
     # -- readers --------------------------------------------------------------
     def _read(self, path: str) -> DataFrame:
@@ -146,6 +178,19 @@ class Warehouse:
             return df.select(*fn(self.staging(stg_name)).columns)
         return df
 
+    @property
+    def metrics(self) -> DataFrame:
+        """Counts observed while this version was written: (model, check_name, column_name, failures)."""
+        return self._read(self.lookup_path("metrics"))
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Staging views and marts by name."""
+        return {n: self.staging(n) for n in STAGING} | {n: self.mart(n) for n in self.MARTS}
+
+    def checked(self) -> DataFrame:
+        """The 22 checks of this version."""
+        return _checks.observed_suite(self.tables(), self.metrics)
+
     @property
     def dim(self) -> DataFrame:
         return self.mart("dim_school")

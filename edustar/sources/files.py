@@ -15,13 +15,16 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from edustar.operators.checks import metric_rows, observed
 from edustar.schema import NULL_TOKENS, REGISTER_COLUMNS
 from edustar.session import storage_root
+from edustar.sources.manifest import current, new_version, publish
 from edustar.sources.records import find_boundaries, records
 
 _HEADER_PART = re.compile("[a-z0-9]+")
@@ -124,34 +127,54 @@ def read_ees_csv(spark: SparkSession, path: str, multi_line: bool | None = None)
     return na_tokens_to_null(sanitise_headers(read_csv(spark, path, "UTF-8", multi_line)))
 
 
-def land_raw(df: DataFrame, path: str, count: bool = True) -> int | None:
-    """Replace the raw table at ``path`` in full; return its row count when asked."""
-    sanitise_headers(df).write.mode("overwrite").parquet(path)
-    if count:
-        return df.sparkSession.read.parquet(path).count()
-    return None
+def land_raw(df: DataFrame, path: str) -> int:
+    """Replace the raw table at ``path`` in full; returns its row count, taken by the write itself."""
+    rows, count = observed(sanitise_headers(df), "raw")
+    rows.write.mode("overwrite").parquet(path)
+    return metric_rows("raw", count)[0][3]
 
 
-def load_counts(spark: SparkSession, tables: Mapping[str, str]) -> DataFrame:
-    """Rows per landed table: ``(table_name, n_rows)``; Parquet answers counts from footers."""
-    parts = [
-        spark.read.parquet(path).groupBy().count().select(F.lit(name).alias("table_name"), F.col("count").alias("n_rows"))
-        for name, path in tables.items()
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def load_counts(metrics: DataFrame) -> DataFrame:
+    """Rows per landed table, from the counts of the landing jobs: ``(table_name, n_rows)``."""
+    return metrics.where((F.col("check_name") == "rows") & F.col("model").startswith("raw_")).select(
+        F.col("model").alias("table_name"), F.col("failures").alias("n_rows"))
+
+
+def content_digest(df: DataFrame, name: str) -> DataFrame:
+    """One row (table_name, n_rows, digest): the digest does not depend on the order of rows or columns, and any changed,
+    lost or repeated value changes it.
+
+    A row's text is its columns by name, each as length, colon and value (``-`` for NULL; doubles with six decimals); the
+    digest is the sum over rows of the first 60 bits of its MD5.
+    """
+    def text(c: str, kind: str) -> Column:
+        value = F.col(f"`{c}`").cast("decimal(30,6)") if kind in ("double", "float") else F.col(f"`{c}`")
+        value = value.cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+    row = F.concat(*[text(c, kind) for c, kind in sorted(df.dtypes)])
+    return df.select(F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)").alias("h")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum("h"), F.lit(0)).cast("string").alias("digest")).select(
+        F.lit(name).alias("table_name"), "n_rows", "digest")
+
+
+def content_digests(tables: Mapping[str, DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [content_digest(df, name) for name, df in tables.items()])
 
 
 def export_marts(marts: Mapping[str, DataFrame], out_root: str) -> DataFrame:
-    """Write a clean serving copy of each mart (lowercase names), return row counts."""
-    paths = {}
+    """Write a clean serving copy of each mart (lowercase names) and publish it as the current export under ``out_root``;
+    returns the row count and content digest of what is read back from each."""
+    spark, root, version = next(iter(marts.values())).sparkSession, out_root.rstrip("/"), new_version()
     for name, df in marts.items():
-        path = f"{out_root.rstrip('/')}/{name}"
-        df.toDF(*[c.lower() for c in df.columns]).write.mode("overwrite").parquet(path)
-        paths[name] = path
-    return load_counts(next(iter(marts.values())).sparkSession, paths)
+        df.toDF(*[c.lower() for c in df.columns]).write.parquet(f"{root}/versions/{version}/{name}")
+    publish(spark, root, version)
+    return content_digests({name: spark.read.parquet(f"{root}/versions/{version}/{name}") for name in marts})
+
+
+def read_export(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """A mart of the current export."""
+    root = out_root.rstrip("/")
+    return spark.read.parquet(f"{root}/versions/{current(spark, root)}/{name}")
 
 
 def write_csv(df: DataFrame, path: str, encoding: str = "UTF-8") -> None:
