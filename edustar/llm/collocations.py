@@ -108,11 +108,11 @@ def _seed(lang: str) -> np.uint64:
     return W.hash_runs(raw, np.array([0]), np.array([len(raw)]))[0]
 
 
-def _blocks(raw: bytes) -> Iterator[bytes]:
-    """``raw`` in blocks of BLOCK bytes or so that end where a piece does (a phrase never crosses pieces)."""
+def _blocks(raw: bytes, block: int) -> Iterator[bytes]:
+    """``raw`` in blocks of ``block`` bytes or so that end where a piece does (a phrase never crosses pieces)."""
     at = 0
     while at < len(raw):
-        end = raw.rfind(b"\n", at, at + BLOCK) + 1 or raw.find(b"\n", at + BLOCK) + 1 or len(raw)
+        end = raw.rfind(b"\n", at, at + block) + 1 or raw.find(b"\n", at + block) + 1 or len(raw)
         yield raw[at:end]
         at = end
 
@@ -133,18 +133,19 @@ def _phrases(lang: str, buf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarra
 
 
 def _steps(slots: np.ndarray, key: np.ndarray) -> np.ndarray:
-    return slots[(key >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+    """The step of each hash's slot (its top bits; the table's length is a power of two)."""
+    return slots[(key >> np.uint64(65 - len(slots).bit_length())).astype(np.int64)]
 
 
-def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+def _blocks_of(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[str, np.ndarray]]:
     for b in batches:
         langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-        for part in W.slices(texts, BLOCK):
+        for part in W.slices(texts, block):
             of: dict[str, list[str]] = {}
             for lang, text in zip(langs[part], texts[part]):
                 of.setdefault(lang, []).append(text)
             for lang, some in of.items():
-                for raw in _blocks("".join(some).encode("utf-8")):
+                for raw in _blocks("".join(some).encode("utf-8"), block):
                     yield lang, np.frombuffer(raw, np.uint8)
 
 
@@ -160,14 +161,14 @@ def unpack_rest(packed: bytes) -> np.ndarray:
     return out.view(np.uint64).ravel()
 
 
-def _step_counts(shard: DataFrame, slots, step: int, cycle: int, bits: int, cap: int) -> DataFrame:
+def _step_counts(shard: DataFrame, slots, step: int, cycle: int, bits: int, cap: int, block: int) -> DataFrame:
     """One step: for each block of text, k, since (the step that made the phrases active) and range of hashes, the
     hashes and counts of the active phrases. Words are active in the first cycle."""
     kind = np.min_scalar_type(cap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = slots.value if slots is not None else None
-        for lang, buf in _blocks_of(batches):
+        for lang, buf in _blocks_of(batches, block):
             before, out = None, []
             for k, (key, whole, _, _) in enumerate(_phrases(lang, buf), start=1):
                 if k == 1:
@@ -192,9 +193,9 @@ def _step_counts(shard: DataFrame, slots, step: int, cycle: int, bits: int, cap:
     return shard.select("lang", "pieces").mapInArrow(run, "k byte, since byte, part int, rest binary, counts binary")
 
 
-def _reached(counts: DataFrame, bits: int, cap: int) -> np.ndarray:
+def _reached(counts: DataFrame, bits: int, cap: int, slot_bits: int) -> np.ndarray:
     """The slots of hashes whose counts come to the threshold. A range of hashes holds slots of its own, so one packed
-    row a range comes to the driver, 2^SLOT_BITS slots of 4 bytes at most in all."""
+    row a range comes to the driver, 2^slot_bits slots of 4 bytes at most in all."""
     kind = np.min_scalar_type(cap)
 
     def add(rests: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +208,7 @@ def _reached(counts: DataFrame, bits: int, cap: int) -> np.ndarray:
         def slots() -> pa.RecordBatch:
             key, total = add(rests, totals)
             full = key[total >= cap] | np.uint64(part << REST_BITS)
-            found = np.unique(full >> np.uint64(bits + REST_BITS - SLOT_BITS))
+            found = np.unique(full >> np.uint64(bits + REST_BITS - slot_bits))
             return pa.RecordBatch.from_arrays([pa.array([found.astype(np.int32).tobytes()], pa.binary())], ["slots"])
         for b in batches:
             for p, rest, count in zip(*(b.column(i).to_pylist() for i in range(3))):
@@ -226,11 +227,11 @@ def _reached(counts: DataFrame, bits: int, cap: int) -> np.ndarray:
     return np.frombuffer(b"".join(bytes(r["slots"]) for r in rows.mapInArrow(run, "slots binary").collect()), np.int32)
 
 
-def _named(table: DataFrame, slots) -> DataFrame:
+def _named(table: DataFrame, slots, block: int) -> DataFrame:
     """All phrases that the slots may hold, with their counts by the phrase itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = slots.value
-        for lang, buf in _blocks_of(batches):
+        for lang, buf in _blocks_of(batches, block):
             before = None
             for k, (key, whole, starts, ends) in enumerate(_phrases(lang, buf), start=1):
                 active = whole & (_steps(tables[k == LENGTHS], key) > 0)
@@ -250,27 +251,27 @@ def _named(table: DataFrame, slots) -> DataFrame:
             .groupBy("lang", "k", "phrase").agg(F.sum("c").alias("f")))
 
 
-def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
+def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = SHARDS, slot_bits: int = SLOT_BITS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """docs (text, lang, ...) -> (lang, k, phrase, f) for the phrases of up to LENGTHS words that occur ``threshold`` times or
     more in their language, and (lang, n): all words of each language."""
-    if not 1 <= n_shards <= 40 or threshold < 1:
-        raise ValueError("1 to 40 shards and a threshold of 1 or more")
+    if not 1 <= n_shards <= 40 or threshold < 1 or not 1 <= slot_bits <= 30:
+        raise ValueError("1 to 40 shards, a threshold of 1 or more, 1 to 30 slot bits")
     broadcast = docs.sparkSession.sparkContext.broadcast
     table = stored(shards(docs, n_shards), "shards", by="shard")
     n_words = table.groupBy("lang").agg(F.sum("n_words").alias("n"))
     words = int(n_words.agg(F.sum("n")).first()[0] or 0)
     bits = max(4, min(16, (words // RANGE_WORDS).bit_length()))
     steps: list[DataFrame] = []
-    marks, sent = np.zeros(1 << SLOT_BITS, np.uint8), None
+    marks, sent = np.zeros(1 << slot_bits, np.uint8), None
     step = last = 0
     while step < max(n_shards, last + n_shards):
         step += 1
         shard = table.where(F.col("shard") == (step - 1) % n_shards)
-        steps.append(stored(_step_counts(shard, sent, step, n_shards, bits, threshold), f"step{step}", by="k"))
+        steps.append(stored(_step_counts(shard, sent, step, n_shards, bits, threshold, block), f"step{step}", by="k"))
         if step > (LENGTHS - 1) * n_shards:  # only the longest phrases can still be active
             continue
         shorter = reduce(DataFrame.unionByName, steps[-n_shards:]).where((F.col("k") < LENGTHS) & (F.col("since") >= step - n_shards))
-        slots = _reached(shorter, bits, threshold)
+        slots = _reached(shorter, bits, threshold, slot_bits)
         new = slots[marks[slots] == 0]
         if len(new):
             marks[new], last = step, step
@@ -278,8 +279,8 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = S
                 sent.unpersist()
             sent = broadcast(marks.copy())
     longest = np.zeros_like(marks)
-    longest[_reached(reduce(DataFrame.unionByName, steps).where(F.col("k") == LENGTHS), bits, threshold)] = 1
-    named = _named(table, broadcast((marks, longest)))
+    longest[_reached(reduce(DataFrame.unionByName, steps).where(F.col("k") == LENGTHS), bits, threshold, slot_bits)] = 1
+    named = _named(table, broadcast((marks, longest)), block)
     return named.where(F.col("f") >= threshold), n_words
 
 
@@ -288,9 +289,10 @@ def _cut_after(n: int, k: int) -> tuple:
     return F.substring_index("phrase", " ", k), F.substring_index("phrase", " ", k - n)
 
 
-def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_shards: int = SHARDS) -> DataFrame:
+def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_shards: int = SHARDS, slot_bits: int = SLOT_BITS,
+                 block: int = BLOCK) -> DataFrame:
     """docs (text, lang, ...) -> lang, rank, phrase, a, l, r, n, score: each language's ``top`` phrases by score."""
-    counted, n_words = phrase_counts(docs, threshold, n_shards)
+    counted, n_words = phrase_counts(docs, threshold, n_shards, slot_bits, block)
     counted = stored(counted, "counted")
     phrases = counted.where("k > 1").select("lang", "k", "phrase", F.col("f").alias("a"))
     parts = counted.select("lang", F.col("phrase").alias("part"), "f")
