@@ -46,7 +46,9 @@ SLOT_BITS = 22
 RANGE_WORDS, REST_BITS = 4 << 20, 40
 #: Bytes of text that are counted at once in a task.
 BLOCK = 4 << 20
-TOP, SALTS = 2000, 64
+#: Words that one task of the last scan names: more words, fewer rows of the same phrase to add up.
+TASK_WORDS = 8 << 20
+TOP, SALTS = 2000, 16
 #: A longer phrase with this share (per cent) of a candidate's count takes its place.
 COVERED = 50
 
@@ -280,7 +282,7 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = S
             sent = broadcast(marks.copy())
     longest = np.zeros_like(marks)
     longest[_reached(reduce(DataFrame.unionByName, steps).where(F.col("k") == LENGTHS), bits, threshold, slot_bits)] = 1
-    named = _named(table, broadcast((marks, longest)), block)
+    named = _named(table.coalesce(-(-words // TASK_WORDS) or 1), broadcast((marks, longest)), block)
     return named.where(F.col("f") >= threshold), n_words
 
 
@@ -302,13 +304,14 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_
     halves = phrases.select("lang", "k", "phrase", "a", F.explode(F.filter(F.array(*cuts), lambda c: c["of"] == F.col("k"))).alias("c"))
     # both sides are plain shuffles of written rows, so the adaptive skew join splits a word of very many phrases
     halves = halves.select("lang", "phrase", "a", "c.cut", "c.side", "c.part").join(parts, ["lang", "part"])
-    both = halves.groupBy("lang", "phrase", "a", "cut").agg(
-        F.max(F.when(F.col("side") == 0, F.col("f"))).alias("l"), F.max(F.when(F.col("side") == 1, F.col("f"))).alias("r"))
+    of = lambda cut, side: F.max(F.when((F.col("cut") == cut) & (F.col("side") == side), F.col("f")))
+    cut_counts = [of(cut, side).alias(f"{'lr'[side]}{cut}") for cut in range(1, LENGTHS) for side in (0, 1)]
+    both = halves.groupBy("lang", "phrase", "a").agg(*cut_counts)
     # 10^6 * a * a fits 38 digits up to a = 10^16
-    both = both.withColumn("score", F.expr(
-        "cast(cast(1000000 as decimal(7,0)) * cast(a as decimal(17,0)) * cast(a as decimal(17,0)) div (cast(l as decimal(18,0)) * cast(r as decimal(18,0))) as long)"))
-    best = both.groupBy("lang", "phrase", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("c")).select(
-        "lang", "phrase", "a", "c.l", "c.r", "c.score")
+    score = "cast(cast(1000000 as decimal(7,0)) * cast(a as decimal(17,0)) * cast(a as decimal(17,0)) div (cast(l{0} as decimal(18,0)) * cast(r{0} as decimal(18,0))) as long)"
+    scored = [F.when(F.col(f"l{k}").isNotNull(), F.struct(F.expr(score.format(k)).alias("score"), F.lit(k).alias("cut"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r")))
+              for k in range(1, LENGTHS)]
+    best = both.withColumn("c", F.least(*scored)).select("lang", "phrase", "a", "c.l", "c.r", "c.score")
 
     inner = [F.struct(_subphrase(n, i, m).alias("phrase"), F.lit(n).alias("of"))
              for n in range(3, LENGTHS + 1) for m in range(2, n) for i in range(n - m + 1)]
