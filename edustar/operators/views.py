@@ -7,9 +7,9 @@ result leaves the cluster.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edustar.functions import label_unmapped, period_index, period_label, school_label, week_number, year_label
@@ -40,6 +40,39 @@ def attendance_enriched(attendance: DataFrame, dim: DataFrame, la_region: DataFr
     )
 
 
+#: Stored roll-ups of the attendance fact by what their cells keep; a cell holds total and n of the absence values.
+ROLLUPS = {
+    "region_week": ("region", "academic_year", "week_label", "phase"),
+    "region_year": ("region", "academic_year", "phase"),
+}
+
+
+def rollup(attendance: DataFrame, la_region: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """The fact's total and number of absence values per cell. Rows fold to one for each LA and cell before they meet the
+    LA's region, so the join sees no fact row."""
+    within = [d for d in dims if d != "region"]
+    cells = attendance.groupBy("la_code", *within).agg(F.sum("pct_overall_absence").alias("total"), F.count("pct_overall_absence").alias("n"))
+    if "region" not in dims:
+        return cells.groupBy(*dims).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    named = cells.join(la_region, "la_code", "left").withColumn("region", label_unmapped("region"))
+    return named.groupBy(*dims).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
+
+def smallest_rollup(needed: Sequence[str], sizes: Mapping[str, int]) -> str | None:
+    """The name of the stored roll-up with the fewest cells that keeps all ``needed`` columns; None if only the fact does."""
+    able = [name for name in sizes if set(needed) <= set(ROLLUPS[name])]
+    return min(able, key=lambda name: (sizes[name], name)) if able else None
+
+
+def rollup_view(cells: DataFrame) -> DataFrame:
+    """A roll-up's cells with the label columns of ``attendance_enriched`` that its dimensions give."""
+    out = cells.withColumn("year_label", year_label("academic_year"))
+    if "week_label" in cells.columns:
+        week = week_number("week_label")
+        out = out.withColumns({"week_num": week, "period_idx": period_index("academic_year", week), "period_label": period_label("academic_year", week)})
+    return out
+
+
 def filter_view(enriched: DataFrame, phase: str = "Secondary", regions: Sequence[str] | None = None,
                 years: Sequence[str] | None = None) -> DataFrame:
     """phase = p and region in R and year in Y; an empty or missing list means all.
@@ -63,26 +96,34 @@ def filter_view(enriched: DataFrame, phase: str = "Secondary", regions: Sequence
     return enriched.where(cond)
 
 
+def _sum_and_count(view: DataFrame) -> tuple[Column, Column]:
+    """Total and number of the absence values of a group, from fact rows or from the cells of a roll-up."""
+    if "total" in view.columns:
+        return F.sum("total"), F.sum("n")
+    return F.sum("pct_overall_absence"), F.count("pct_overall_absence")
+
+
+def _mean_absence(view: DataFrame) -> Column:
+    return F.try_divide(*_sum_and_count(view)).alias("mean_absence")
+
+
 def absence_trend(view: DataFrame) -> DataFrame:
     """Mean absence per period and region, in period order."""
-    return (view.groupBy("period_idx", "period_label", "region")
-            .agg(F.avg("pct_overall_absence").alias("mean_absence"))
-            .orderBy("period_idx", "region"))
+    return view.groupBy("period_idx", "period_label", "region").agg(_mean_absence(view)).orderBy("period_idx", "region")
 
 
 def absence_rank(view: DataFrame) -> DataFrame:
     """Mean absence per region, highest first."""
-    return (view.groupBy("region").agg(F.avg("pct_overall_absence").alias("mean_absence"))
-            .orderBy(F.desc_nulls_last("mean_absence"), "region"))
+    return view.groupBy("region").agg(_mean_absence(view)).orderBy(F.desc_nulls_last("mean_absence"), "region")
 
 
 def attendance_headline(view: DataFrame) -> DataFrame:
     """Mean absence (NULL on an empty view), regions shown, weeks of data.
 
-    Facts fold to one row per region and period first; the distinct counts run over those few rows.
+    Rows fold to one for each region and period first; the distinct counts run over those few rows.
     """
-    cells = view.groupBy("region", "period_idx").agg(
-        F.sum("pct_overall_absence").alias("total"), F.count("pct_overall_absence").alias("n"))
+    total, n = _sum_and_count(view)
+    cells = view.groupBy("region", "period_idx").agg(total.alias("total"), n.alias("n"))
     return cells.agg(F.try_divide(F.sum("total"), F.sum("n")).alias("mean_absence"),
                      F.count_distinct("region").alias("n_regions"),
                      F.count_distinct("period_idx").alias("n_periods"))

@@ -587,21 +587,21 @@ def q_trendline(spark, sf_dir):
     "SELECT period_idx, period_label, region, avg(pct_overall_absence) AS mean_absence FROM default_view "
     "GROUP BY 1, 2, 3 ORDER BY period_idx, region"))
 def q_absence_trend(spark, sf_dir):
-    return V.absence_trend(V.filter_view(_enriched(spark, sf_dir), "Secondary"))
+    return V.absence_trend(V.filter_view(W(spark, sf_dir).attendance_view("region", "academic_year", "week_label", "phase"), "Secondary"))
 
 
 @register(["absence_rank", "order_rank"], O.sql(
     "SELECT region, avg(pct_overall_absence) AS mean_absence FROM default_view GROUP BY region "
     "ORDER BY mean_absence DESC NULLS LAST, region"))
 def q_absence_rank(spark, sf_dir):
-    return V.absence_rank(V.filter_view(_enriched(spark, sf_dir), "Secondary"))
+    return V.absence_rank(V.filter_view(W(spark, sf_dir).attendance_view("region", "academic_year", "phase"), "Secondary"))
 
 
 @register("attendance_headline", O.sql(
     "SELECT avg(pct_overall_absence) AS mean_absence, count(DISTINCT region) AS n_regions, "
     "count(DISTINCT period_idx) AS n_periods FROM default_view"))
 def q_attendance_headline(spark, sf_dir):
-    return V.attendance_headline(V.filter_view(_enriched(spark, sf_dir), "Secondary"))
+    return V.attendance_headline(V.filter_view(W(spark, sf_dir).attendance_view("region", "academic_year", "week_label", "phase"), "Secondary"))
 
 
 @register("school_headline", O.sql(
@@ -630,7 +630,7 @@ def q_attainment_spread(spark, sf_dir):
     "WHERE region <> '(unmapped)' UNION ALL SELECT 'year', year_label FROM attendance_periods "
     "UNION ALL SELECT 'phase', phase FROM attendance_periods) ORDER BY kind, value"))
 def q_filter_options(spark, sf_dir):
-    return V.filter_options(_enriched(spark, sf_dir))
+    return V.filter_options(W(spark, sf_dir).attendance_view("region", "academic_year", "phase"))
 
 
 @register(["school_labels", "school_label"], O.sql("SELECT DISTINCT label FROM labelled ORDER BY label"))

@@ -17,11 +17,13 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from edustar.operators import checks as _checks
 from edustar.operators import insights as _ins
 from edustar.operators import marts as _marts
 from edustar.operators import staging as _stg
+from edustar.operators import views as _views
 from edustar.session import storage_root
 from edustar.sources import manifest
 from edustar.sources.fixtures import RAW_BUILDERS
@@ -61,6 +63,7 @@ class Warehouse:
         tag = "".join(ch if ch.isalnum() else "_" for ch in self.sf_dir.strip("/"))[-60:]
         self.root = root or f"{storage_root(spark)}/edustar/{_RUN}/{tag}"
         self._version: str | None = None
+        self._sizes: dict[str, int] | None = None
         self._frames: dict[str, DataFrame] = {}
 
     # -- paths ----------------------------------------------------------------
@@ -75,7 +78,7 @@ class Warehouse:
 
     def refresh(self) -> "Warehouse":
         """Read the version that is published now."""
-        self._version = None
+        self._version = self._sizes = None
         self._frames.clear()
         return self
 
@@ -107,7 +110,7 @@ class Warehouse:
         if check:
             _checks.raise_on_error(draft.checked())
         manifest.publish(self.spark, self.root, draft.version)
-        self._version, self._frames = draft._version, draft._frames
+        self._version, self._sizes, self._frames = draft._version, None, draft._frames
         return self
 
     def _write(self, csv_files: dict[str, str] | None, multi_line: bool | None) -> None:
@@ -142,7 +145,13 @@ class Warehouse:
                 _ins.region_per_la(dim).write.parquet(self.lookup_path("la_region"))
                 _ins.region_per_la_name(dim).write.parquet(self.lookup_path("la_region_by_name"))
 
+        def roll_up(name: str) -> None:
+            cells, count = _checks.observed(_views.rollup(self.attendance, self.la_region, _views.ROLLUPS[name]), name)
+            cells.coalesce(1).write.parquet(self.lookup_path(name))
+            metrics.extend(_checks.metric_rows(name, count))
+
         _run_together([lambda m=m: chain(m) for m in source])
+        _run_together([lambda r=r: roll_up(r) for r in _views.ROLLUPS])
         self.spark.createDataFrame(metrics, _checks.METRICS_SCHEMA).coalesce(1).write.parquet(self.lookup_path("metrics"))
 
     # -- readers --------------------------------------------------------------
@@ -191,6 +200,16 @@ class Warehouse:
         """The 22 checks of this version."""
         return _checks.observed_suite(self.tables(), self.metrics)
 
+    def attendance_view(self, *needed: str) -> DataFrame:
+        """Attendance with region and period labels, from the smallest stored roll-up that keeps the ``needed`` columns of
+        the fact, else from the fact itself."""
+        if self._sizes is None:
+            self._sizes = {r["model"]: r["failures"] for r in self.metrics.where(F.col("model").isin(*_views.ROLLUPS)).collect()}  # one row a roll-up
+        name = _views.smallest_rollup(needed, self._sizes)
+        if name is None:
+            return self.enriched
+        return self._memo(f"rollup:{name}", lambda: _views.rollup_view(self._read(self.lookup_path(name))))
+
     @property
     def dim(self) -> DataFrame:
         return self.mart("dim_school")
@@ -216,14 +235,12 @@ class Warehouse:
     @property
     def enriched(self) -> DataFrame:
         """Every attendance fact row with region and period columns (the dashboard's base view)."""
-        from edustar.operators.views import attendance_enriched
-        return self._memo("enriched", lambda: attendance_enriched(self.attendance, self.dim, self.la_region))
+        return self._memo("enriched", lambda: _views.attendance_enriched(self.attendance, self.dim, self.la_region))
 
     @property
     def schools(self) -> DataFrame:
         """Every KS4 result row named from the results, region looked up by LA name."""
-        from edustar.operators.views import schools_enriched
-        return self._memo("schools", lambda: schools_enriched(self.ks4, self.dim, self.la_region_by_name))
+        return self._memo("schools", lambda: _views.schools_enriched(self.ks4, self.dim, self.la_region_by_name))
 
     def register_views(self, staging: bool = True) -> None:
         """Marts (and the lazy staging views) under their bare names, for SQL text."""
