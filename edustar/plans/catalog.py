@@ -21,12 +21,13 @@ from edustar.functions import pad_code, period_index, period_label, strict_int,
 from edustar.functions import week_number, year_label
 from edustar.operators import checks as C
 from edustar.operators import insights as I
+from edustar.operators import ranking as R
 from edustar.operators import screen as S
 from edustar.operators import staging as ST
 from edustar.operators import views as V
 from edustar.plans import oracle as O
 from edustar.plans.pipeline import warehouse
-from edustar.schema import NULL_TOKENS, REGISTER_COLUMNS, SCREEN_MESSAGES
+from edustar.schema import ATTENDANCE_PHASES, NULL_TOKENS, REGISTER_COLUMNS, SCREEN_MESSAGES
 from edustar.sources import files
 from edustar.sources.fixtures import read_table
 from edustar.sources.records import CutRecordError
@@ -690,7 +691,32 @@ def q_dq_accepted_values(spark, sf_dir):
     return C.observed_summary(W(spark, sf_dir).metrics, "accepted_values")
 
 
-@register(["dq_relationships", "dq_severity"], O.sql(O.union(O.RELATIONSHIP_CHECKS)))
+@register("dq_severity", O.sql(O.union([
+    O.check_row("raw_ks4", "school_urn", "unique", "error",
+                "SELECT count(*) FROM (SELECT school_urn FROM raw_ks4 WHERE school_urn IS NOT NULL GROUP BY school_urn HAVING count(*) > 1)"),
+    O.check_row("raw_gias", "region_name", "not_null", "warn", "SELECT count(*) FROM raw_gias WHERE region_name IS NULL"),
+    O.check_row("raw_attendance", "school_type", "accepted_values", "error",
+                f"SELECT count(*) FROM raw_attendance WHERE school_type NOT IN {O.in_list(ATTENDANCE_PHASES)}"),
+    O.check_row("raw_attendance", "geographic_level", "accepted_values", "error",
+                "SELECT count(*) FROM raw_attendance WHERE geographic_level NOT IN ('National', 'Regional', 'Local authority')")])))
+def q_dq_severity(spark, sf_dir):
+    """The check kinds on landed tables, which staging has not cleaned yet: the same failures stop a build or only warn."""
+    wh = W(spark, sf_dir)
+    return C._union([
+        C.dq_unique(wh.raw("raw_ks4"), "raw_ks4", "school_urn"),
+        C.dq_not_null(wh.raw("raw_gias"), "raw_gias", ["region_name"], "warn"),
+        C.dq_accepted_values(wh.raw("raw_attendance"), "raw_attendance", "school_type", ATTENDANCE_PHASES),
+        C.dq_accepted_values(wh.raw("raw_attendance"), "raw_attendance", "geographic_level", ("National", "Regional", "Local authority"))])
+
+
+@register("school_quartile", O.sql(
+    "SELECT ks4_key, attainment8_score, CAST(ntile(4) OVER (ORDER BY attainment8_score NULLS LAST, ks4_key) AS INTEGER) AS quartile FROM fct_ks4_results"))
+def q_school_quartile(spark, sf_dir):
+    """Quartile of every school result by score: tiles by range partitions, no single-partition window over the rows."""
+    return R.ntile(W(spark, sf_dir).ks4.select("ks4_key", "attainment8_score"), 4, [F.asc_nulls_last("attainment8_score"), F.asc("ks4_key")], "quartile")
+
+
+@register("dq_relationships", O.sql(O.union(O.RELATIONSHIP_CHECKS)))
 def q_dq_relationships(spark, sf_dir):
     return C.relationship_checks(_tables(spark, sf_dir))
 
