@@ -2,21 +2,23 @@
 
 Strong spans stand alone: an assigned secret, an access key id, a long hex string. Weak parts (a named
 identifier, a random-looking string of one letter case or both, a service address) mean little alone; each is reported only when a
-complementary part lies in its scope: an identifier or an address needs a secret, a random-looking string
-needs an identifier or an access key. A part's scope is the interval of SCOPE code points on both sides
-of it, cut at blank lines. The join runs inside the row that holds the text, over the sorted part
-intervals, so nothing is shuffled and no pair is ever written out.
+complementary part lies in its scope and does not overlap it: an identifier or an address needs a secret, a
+random-looking string needs an identifier or an access key, so no value is its own complement. A part's scope is the
+interval of SCOPE code points on both sides of it, cut at blank lines. The join runs inside the row that holds the text,
+by bisection over the sorted part intervals, so nothing is shuffled and no pair is ever written out.
 
 Defined cases: a null text counts as empty; an empty text has no spans; overlapping weak parts of one
-kind keep the leftmost; a weak part that overlaps a strong span is dropped (the strong span stands).
+kind keep the leftmost; a weak part that overlaps a strong span is dropped (the strong span stands); very long texts are
+scanned whole, in time that grows with their length and the logarithm of their parts; repeated rows are scanned each; an
+empty table gives an empty result; other columns, whatever their names, are not read by the scan and kept by the redaction.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pandas as pd
@@ -71,16 +73,8 @@ def weak_parts(text: str, strong: list[Span]) -> list[Span]:
     found = [("identifier", *m.span()) for m in IDENTIFIER.finditer(text)]
     found += [("random", *m.span()) for m in RANDOM.finditer(text) if _random_looking(m[0])]
     found += [("endpoint", *m.span()) for m in ENDPOINT.finditer(text)]
-    return [s for s in found if not _meets(sorted((a, b) for _, a, b in strong), s[1], s[2])] if found else []
-
-
-def _meets(intervals: list[tuple[int, int]], start: int, end: int) -> bool:
-    """Whether any of the sorted intervals overlaps [start, end)."""
-    if not intervals:
-        return False
-    i = bisect_left(intervals, (end,))  # those before i begin before end
-    furthest = list(accumulate((b for _, b in intervals), max))
-    return i > 0 and furthest[i - 1] > start
+    taken = _Intervals((a, b) for _, a, b in strong)
+    return [s for s in found if not taken.meet(s[1], s[2])]
 
 
 def _scopes(text: str, spans: list[Span], scope: int) -> list[tuple[int, int]]:
@@ -96,28 +90,36 @@ def _scopes(text: str, spans: list[Span], scope: int) -> list[tuple[int, int]]:
 
 
 def linked_parts(text: str, strong: list[Span], scope: int = SCOPE) -> list[Span]:
-    """The weak parts that have a complementary part in their scope."""
+    """The weak parts that have a complementary part in their scope, beside them."""
     weak = weak_parts(text, strong)
     if not weak:
         return []
     parts = strong + weak
-    of = lambda *kinds: _Intervals(sorted((a, b) for k, a, b in parts if k in kinds))
+    of = lambda *kinds: _Intervals((a, b) for k, a, b in parts if k in kinds)
     secrets, names = of("assign", "hex", "random"), of("access", "identifier")
     needs = {"identifier": secrets, "endpoint": secrets, "random": names}
-    return [s for s, (low, high) in zip(weak, _scopes(text, weak, scope)) if needs[s[0]].meet(low, high)]
+    return [s for s, (low, high) in zip(weak, _scopes(text, weak, scope)) if needs[s[0]].beside(low, s[1], s[2], high)]
 
 
 class _Intervals:
-    """Sorted intervals with the furthest end so far: an overlap test by one bisection."""
+    """Intervals by start (with the furthest end so far) and by end: each test is a bisection or two."""
 
-    def __init__(self, intervals: list[tuple[int, int]]):
-        self.starts = [a for a, _ in intervals]
-        self.furthest = list(accumulate((b for _, b in intervals), max))
+    def __init__(self, intervals: Iterable[tuple[int, int]]):
+        found = sorted(intervals)
+        self.starts = [a for a, _ in found]
+        self.ends = sorted(b for _, b in found)
+        self.furthest = list(accumulate((b for _, b in found), max))
 
     def meet(self, start: int, end: int) -> bool:
+        """Whether one overlaps [start, end)."""
         i = bisect_left(self.starts, end)
         return i > 0 and self.furthest[i - 1] > start
 
+    def beside(self, low: int, start: int, end: int, high: int) -> bool:
+        """Whether one reaches into [low, high) and lies before ``start`` or behind ``end``."""
+        before, behind = bisect_right(self.ends, low), bisect_left(self.starts, end)
+        return before < len(self.ends) and self.ends[before] <= start or behind < len(self.starts) and self.starts[behind] < high
+
 
 def digest(spans: list[Span]) -> str:
     """kind:start:end by start, then kind as listed, comma-joined."""
