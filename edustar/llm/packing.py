@@ -11,7 +11,8 @@ while it writes token counts; counts of (task, length) give each task's first nu
 plan give window and offset. The tokenised table is written once, so numbers hold when tasks are re-run.
 
 Defined cases: a null text counts as empty; an empty text is the closing id alone; repeated rows are packed
-each; an empty table gives no rows; a null doc_id is carried through.
+each; an empty table gives no rows; a null doc_id is carried through; a very long text is encoded whole and fills windows of
+its own; added tokens written in a text give their own ids, or with ``plain_added`` those of their characters.
 """
 
 from __future__ import annotations
@@ -112,10 +113,10 @@ def place(table: dict[str, np.ndarray], length: np.ndarray, number: np.ndarray)
 COUNTED = ("part int, doc_id long, doc_tokens long, crcs array<long>, tail int, tail_number long, full long, full_number long")
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, window: int = WINDOW, plain_added: bool = False) -> DataFrame:
     """One row a document: its tokens, the crc32 of each piece's ids, and its numbers within its task."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe, part = WordBpe.load(tokenizer), TaskContext.get().partitionId()
+        bpe, part = WordBpe.load(tokenizer, plain_added), TaskContext.get().partitionId()
         tails, fulls = np.zeros(window + 1, np.int64), 0
         closing, step = CLOSING_ID.to_bytes(4, "little"), 4 * window
         for b in batches:
@@ -132,10 +133,10 @@ def count_tokens(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataF
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, COUNTED)
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, plain_added: bool = False) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
-    rows = stored(count_tokens(docs, tokenizer, window), "token_counts")
+    rows = stored(count_tokens(docs, tokenizer, window, plain_added), "token_counts")
     per_part = stored(rows.groupBy("part", "tail").agg(F.count("*").alias("n"), F.sum("full").alias("full")), "part_counts")
 
     # the multiset of lengths: at most ``window`` rows

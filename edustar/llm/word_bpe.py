@@ -6,7 +6,7 @@ in a cache. An unknown chunk of Latin letters and signs is cut by the tokenizer'
 piece merged by tiktoken's byte-pair merger over the same vocabulary: a word's end is written as the byte
 0xFF, which UTF-8 never has, and a token's rank is its id, which is its merge order (checked on loading).
 Any other chunk goes through the tokenizers library. ``encode`` gives the ids that encoding the whole text by
-the tokenizers library gives (tested).
+the tokenizers library gives (tested), those of added tokens included.
 """
 
 from __future__ import annotations
@@ -27,36 +27,43 @@ CACHE_WORDS = 400_000
 _OTHER_SPACE = re.compile("[\x1c-\x1f]")
 _NOT_LATIN = re.compile("[^\x21-ɏ]")
 _END = b"\xff"
-_LOADED: dict[str, "WordBpe"] = {}
+_LOADED: dict[tuple, "WordBpe"] = {}
 
 
 class WordBpe:
-    def __init__(self, path: str):
+    """``plain_added``: added tokens written in a text are encoded as its other characters are, so that no text can write,
+    say, a document end into a sequence; by default they give their own ids, as by the tokenizer file as loaded."""
+
+    def __init__(self, path: str, plain_added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain_added
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        added = [t["content"] for t in spec["added_tokens"]]
+        # case is ignored, as a token may be looked for in the normalised text; whatever this finds is encoded whole
+        self.added = None if plain_added or not added else re.compile("|".join(map(re.escape, added)), re.I).search
         self.merger = _merger(spec)
         self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     @classmethod
-    def load(cls, path: str) -> "WordBpe":
+    def load(cls, path: str, plain_added: bool = False) -> "WordBpe":
         """One tokenizer, with its cache, for each Python worker."""
-        if path not in _LOADED:
-            _LOADED[path] = cls(path)
-        return _LOADED[path]
+        key = (path, plain_added)
+        if key not in _LOADED:
+            _LOADED[key] = cls(*key)
+        return _LOADED[key]
 
     def encode_whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode_bytes(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit numbers."""
-        if _OTHER_SPACE.search(text):
+        if _OTHER_SPACE.search(text) or self.added and self.added(text):
             return self.encode_whole(text)
         chunks = text.split()
         found = list(map(self.young.get, chunks))
