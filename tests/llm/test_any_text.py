@@ -2,11 +2,12 @@
 import random
 import time
 
+import pandas as pd
 import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
-from edustar.llm import packing, secret_scan, token_attribution
+from edustar.llm import packing, piece_sampling, secret_scan, token_attribution
 from edustar.llm.word_bpe import WordBpe
 
 
@@ -90,3 +91,28 @@ def test_packed_lengths_of_added_tokens(spark, frame):
     loaded = Tokenizer.from_file(path)
     got = packing.pack(frame(list(enumerate(ADDED))), path).toPandas().set_index("doc_id")
     assert [int(got.doc_tokens[i]) for i in range(len(ADDED))] == [len(loaded.encode(t, add_special_tokens=False).ids) + 1 for t in ADDED]
+
+
+def test_a_run_without_blanks_is_sampled_in_seconds():
+    lattice = piece_sampling.Lattice(P.path("piece_bpe_32k.model"))
+    rng = random.Random(13)
+    text = "".join(rng.choice("abcdefghijé日👍") for _ in range(100_000))
+    begun = time.monotonic()
+    (walks, _), = piece_sampling.sample_texts(lattice, [text], piece_sampling.seed_of(pd.Series([5])), 2)
+    assert time.monotonic() - begun < 10
+    ids, at = lattice.ids_all([w.arcs for w in walks])
+    assert len(walks) == 2 and lattice.decode_all(ids, at) == [text, text]
+    assert [lattice.ids(w.arcs).tolist() for w in walks] == [ids[a:b].tolist() for a, b in zip(at, at[1:])]
+    assert all(w.value >= max(w.left) for w in walks) and walks[0].arcs.tolist() != walks[1].arcs.tolist()
+
+
+def test_long_words_have_the_sums_of_short_ones(monkeypatch):
+    """A word built by itself, and walked by itself, is sampled as one built among others."""
+    text = "cats and dogs " * 3 + "internationalisation"
+    seed = piece_sampling.seed_of(pd.Series([6]))
+    usual = piece_sampling.sample_texts(piece_sampling.Lattice(P.path("piece_bpe_32k.model")), [text], seed, 3)[0]
+    monkeypatch.setattr(piece_sampling, "LONG_WORD", 3)
+    monkeypatch.setattr(piece_sampling, "FEW", 100)
+    alone = piece_sampling.sample_texts(piece_sampling.Lattice(P.path("piece_bpe_32k.model")), [text], seed, 3)[0]
+    assert [w.log_prob for w in alone[0]] == pytest.approx([w.log_prob for w in usual[0]], rel=1e-9)
+    assert alone[1] == pytest.approx(usual[1], rel=1e-9)
