@@ -3,11 +3,11 @@
 A page is cut into blocks at block-level tags. Pass one decides blocks: parts of menus, headers, footers,
 side bars, notices, adverts, forms, scripts, styles and reader comments (by element, or by words of class, id or role) are
 boilerplate; of the others, many links or a copyright sign make boilerplate, and enough text with enough
-stop words makes content; short blocks stay undecided. Pass two lets each undecided block inherit the label
+stop words (in writing without blanks, function signs) makes content; short blocks stay undecided. Pass two lets each undecided block inherit the label
 of its nearest decided neighbours: alike ones give theirs, unlike ones give the nearer one's, and on a tie
-content if the block lies in an article.
+content if the block lies in an article. On a page without content and article the undecided blocks, if there are two or more, are the text.
 
-Names are weaker than elements. A heading's names and words behind has-, no-, with- or without- do not count, nor do
+Names are weaker than elements, and a form counts as a name. A heading's names and words behind has-, no-, with- or without- do not count, nor do
 ids that title a section of a text (TITLES), nor the header of an article. An element named as boilerplate is taken for a mere wrapper, and its name dropped,
 if it holds the main element, or the article with the most text (unless it is named as comments), or, on a page without these, if no content is left
 outside of it and it holds most of the page's content (comments never do).
@@ -17,7 +17,8 @@ space, blocks are trimmed and joined in page order by one space. Nothing else is
 
 Defined cases: null html counts as empty; a page without content has the empty text; markup cut off at the
 end of the page is dropped; an unclosed script, style, textarea or template runs to the end of the page, of other skipped elements without an
-end tag only the tag is skipped; repeated rows are kept; an empty table gives an empty result.
+end tag only the tag is skipped; repeated rows are kept; very long pages are read whole; an empty table gives an empty result; other columns, whatever
+their names, are not read.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from edustar.llm.text_stats import FUNCTION_WORDS
 
 LONG_BLOCK, SOME_STOP_WORDS, MANY_LINKS = 70, 0.10, 0.5
+#: The same for writing without blanks (NO_BLANKS code points a word or more, on average).
+LONG_SIGNS, SOME_FUNCTION_SIGNS, NO_BLANKS = 30, 0.04, 12
 
 #: Fixed lists of HTML elements.
 BLOCKS = frozenset(
@@ -42,7 +45,7 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split())
 SPACES = frozenset("br wbr img input".split())
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas select button".split())
-BOILERPLATE = frozenset("nav footer aside form menu dialog head".split())
+BOILERPLATE = frozenset("nav footer aside menu dialog head".split())
 LINES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figcaption caption option".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Fixed list: words of class, id or role that name boilerplate.
@@ -58,6 +61,9 @@ OF_TEXT = frozenset("article post entry content story section page title chapter
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEGATING = frozenset("has no with without".split())
 TO_THE_END = frozenset("script style textarea template".split())
+PARTS = frozenset("body html article main".split())
+#: Fixed list: frequent function signs of Chinese and Japanese, whose words are not set apart by blanks.
+FUNCTION_SIGNS = frozenset("的了是在和有不这也就与及这為为而のにはをがとでもた")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|[\s/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
@@ -183,12 +189,12 @@ def blocks(page: str) -> list[Block]:
                     box = boxes
                 article = inside or name in ("article", "main")
                 named = name in BOILERPLATE or name == "header" and not inside
-                if name not in ("body", "html", "article", "main") and attributes:
+                if name not in PARTS and attributes:
                     named = named or _hidden(attributes)
-                    words = _boilerplate_words(name, attributes, inside)
-                    if words:
-                        of_marks += (len(marks),)
-                        marks.append(bool(words & COMMENTS))
+                words = _boilerplate_words(name, attributes, inside) if name not in PARTS and attributes else set()
+                if words or name == "form":
+                    of_marks += (len(marks),)
+                    marks.append(bool(words & COMMENTS))
                 if name in ("article", "main"):
                     of_articles += (len(articles),)
                     articles.append((name == "main", of_marks))
@@ -240,6 +246,10 @@ def decide(b: Block) -> str:
     """Pass one."""
     if b.named or b.text.startswith("©") or b.linked >= MANY_LINKS * len(b.text):
         return BAD
+    if not b.text.isascii() and len(b.text) >= max(LONG_SIGNS, NO_BLANKS * (b.text.count(" ") + 1)):
+        signs = sum(map(b.text.count, FUNCTION_SIGNS))
+        if signs >= SOME_FUNCTION_SIGNS * len(b.text):
+            return CONTENT
     if len(b.text) < LONG_BLOCK:
         return SHORT
     words = b.text.lower().split()
@@ -253,6 +263,8 @@ def classify(page_blocks: list[Block]) -> list[bool]:
     """Both passes: whether each block is content. A block's neighbours are looked for in its own container
     first, then in the article, if it is in one, then on the page."""
     labels = [decide(b) for b in page_blocks]
+    if CONTENT not in labels and labels.count(SHORT) > 1 and not any(b.inside for b in page_blocks):
+        return [x == SHORT for x in labels]  # nothing to inherit: a page of short blocks is its undecided blocks
     left, right = _nearest(page_blocks, labels, range(len(labels))), _nearest(page_blocks, labels, range(len(labels) - 1, -1, -1))
     out = []
     for i, (b, x) in enumerate(zip(page_blocks, labels)):

@@ -7,7 +7,7 @@ import public_tokenizers as P
 import pytest
 from tokenizers import Tokenizer
 
-from edustar.llm import packing, piece_sampling, secret_scan, token_attribution
+from edustar.llm import html_text, packing, piece_sampling, secret_scan, token_attribution
 from edustar.llm.word_bpe import WordBpe
 
 
@@ -116,3 +116,20 @@ def test_long_words_have_the_sums_of_short_ones(monkeypatch):
     alone = piece_sampling.sample_texts(piece_sampling.Lattice(P.path("piece_bpe_32k.model")), [text], seed, 3)[0]
     assert [w.log_prob for w in alone[0]] == pytest.approx([w.log_prob for w in usual[0]], rel=1e-9)
     assert alone[1] == pytest.approx(usual[1], rel=1e-9)
+
+
+PROSE = "The river rises in the hills to the north of the town and it is joined by two streams before it comes to the sea. "
+CHINESE = "这条河发源于城北的山中，在流入大海之前有两条小溪汇入。春天的时候，河水很高，镇上的人们都在岸边散步。"
+MENU = '<ul class="menu"><li><a href="/">Home</a></li><li><a href="/a">About</a></li></ul>'
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<body><form action='/x'>{MENU}<div><p>{PROSE * 2}</p><p>{PROSE}</p></div><input type=hidden></form></body>", f"{PROSE * 2}{PROSE}".strip()),
+    (f"<body><div><p>{PROSE * 2}</p></div><form><p>{PROSE}</p></form></body>", (PROSE * 2).strip()),
+    (f"<body><article><p>{PROSE}</p><form><p>Send us your name and the city that you live in, and we will write to you.</p></form></article></body>", PROSE.strip()),
+    (f"<body>{MENU}<div><p>{CHINESE}</p><p>{CHINESE * 2}</p></div><footer>版权所有</footer></body>", f"{CHINESE} {CHINESE * 2}"),
+    (f"<body>{MENU}<div><p>Opening hours</p><p>Monday to Friday</p></div><footer>© us</footer></body>", "Opening hours Monday to Friday"),
+    (f"<body>{MENU}<footer>© us</footer></body>", ""),
+])
+def test_pages_in_a_form_in_chinese_and_of_short_blocks(page, want):
+    assert html_text.main_text(page) == want
