@@ -44,7 +44,8 @@ class WordBpe:
             spec = json.load(f)
         added = [t["content"] for t in spec["added_tokens"]]
         # case is ignored, as a token may be looked for in the normalised text; whatever this finds is encoded whole
-        self.added = None if plain_added or not added else re.compile("|".join(map(re.escape, added)), re.I).search
+        self.added = re.compile("|".join(map(re.escape, added)), re.I).search
+        self.signs = "" if plain_added else "".join({c for t in added for c in (t[0].lower(), t[0].upper())})
         self.merger = _merger(spec)
         self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
         self.young: dict[str, bytes] = {}
@@ -63,7 +64,7 @@ class WordBpe:
 
     def encode_bytes(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit numbers."""
-        if _OTHER_SPACE.search(text) or self.added and self.added(text):
+        if _OTHER_SPACE.search(text) or any(c in text for c in self.signs) and self.added(text):
             return self.encode_whole(text)
         chunks = text.split()
         found = list(map(self.young.get, chunks))
