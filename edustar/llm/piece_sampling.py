@@ -42,9 +42,11 @@ from edustar.llm import words
 SAMPLES = 2
 TEMPERATURE = 1.0
 #: Arcs of distinct words kept in a worker before the store is begun anew.
-ARCS = 12_000_000
+ARCS = 6_000_000
 #: New words built together, and characters of texts sampled together: few enough for the processor's cache.
 AT_ONCE, CHARACTERS = 4_096, 1 << 18
+#: Rows of an Arrow batch that become Python objects at once.
+ROWS = 1_024
 #: Characters from which a word is built by itself, and walks so few that they are walked one after another.
 LONG_WORD, FEW = 256, 4
 BLANK = "▁"
@@ -91,7 +93,7 @@ class Lattice:
         inner = any(BLANK in p.strip(BLANK) or p != p.rstrip(BLANK) and p.strip(BLANK) for p in self.pieces)
         if inner or any("\n" in p for p in self.pieces):
             raise ValueError("a piece crosses the blank before a word, or a line feed")
-        self.cut = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n").findall
+        self.cut = re.compile(" *[^ \n]+| +|\n").findall
         self.spelled = self._spelled()
         self._empty()
 
@@ -104,29 +106,30 @@ class Lattice:
 
     def _empty(self) -> None:
         self.words = _Nodes()
-        self.node_first = array("q")  # a node's first arc; arcs of a node fall in probability
+        self.node_first = array("i")  # a node's first arc; arcs of a node fall in probability
         self.arc_up_to, self.arc_p = array("d"), array("d")  # cumulative and own conditional probability
         self.arc_next, self.arc_piece = array("i"), array("i")  # next node (-1: the word's end); piece, or -1 - index of bytes
         self.byte_pieces, self.byte_first = array("i"), array("q", [0])  # byte pieces of characters without a piece, one behind another
         self.marks: dict[str, int] = {}
 
     def units(self, text: str) -> list[str]:
-        if BLANK in text or "  " in text or not text or not self.dummy_prefix:
-            s = text.replace(" ", BLANK)
-            return self.cut(BLANK + s if self.dummy_prefix and s else s)
+        """The words, with plain blanks (U+2581 would double the store of a word in ASCII)."""
+        text = text.replace(BLANK, " ")
+        if "  " in text or not text or not self.dummy_prefix:
+            return self.cut(" " + text if self.dummy_prefix and text else text)
         out: list[str] = []
         for i, line in enumerate(text.split("\n")):  # single blanks: every word but a later line's first has one before it
             if i:
                 out.append("\n")
             found = line.split(" ")
             if found[-1] == "" or found[0] == "":  # a blank beside the line's end
-                out += self.cut((BLANK if not i else "") + line.replace(" ", BLANK))
+                out += self.cut((" " if not i else "") + line)
             else:
                 if not i:
-                    out.append(BLANK + found[0])
+                    out.append(" " + found[0])
                 elif found[0]:
                     out.append(found[0])
-                out += [BLANK + w for w in found[1:]]
+                out += [" " + w for w in found[1:]]
         return out
 
     def starts(self, units: list[list[str]]) -> list[np.ndarray]:
@@ -190,6 +193,7 @@ class Lattice:
         """Nodes (one a character) and arcs of new words, all at once."""
         keys, piece_ids, weights, _, seen = self.spelled
         letters = np.frombuffer("".join(new).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        letters[letters == 32] = ord(BLANK)
         sizes = np.fromiter(map(len, new), np.int64, len(new))
         ends = np.cumsum(sizes)
         left = np.repeat(ends, sizes) - np.arange(len(letters))  # characters to the word's end
@@ -253,7 +257,7 @@ class Lattice:
         p[first[n == 1]] = 1.0
         base, arcs = len(self.node_first), len(self.arc_p)
         target = np.where(size < left[pos], base + pos + size, -1)
-        for store, x in ((self.node_first, arcs + first), (self.arc_p, p), (self.arc_up_to, up_to), (self.arc_next, target.astype(np.int32)),
+        for store, x in ((self.node_first, (arcs + first).astype(np.int32)), (self.arc_p, p), (self.arc_up_to, up_to), (self.arc_next, target.astype(np.int32)),
                          (self.arc_piece, piece.astype(np.int32))):
             store.frombytes(np.ascontiguousarray(x).tobytes())
         self.words.update(zip(new, (base + ends - sizes).tolist()))
@@ -338,12 +342,12 @@ def _truncated(mass: np.ndarray, at_most: np.ndarray, u: np.ndarray) -> np.ndarr
 
 def _walk(lattice: Lattice, node: np.ndarray, seed: np.ndarray, at: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
     """Random paths from each start node to its word's end: how many arcs each has, and the arcs, path behind path."""
-    first, up_to, nxt = (np.frombuffer(x, t) for x, t in ((lattice.node_first, np.int64), (lattice.arc_up_to, np.float64), (lattice.arc_next, np.int32)))
+    first, up_to, nxt = (np.frombuffer(x, t) for x, t in ((lattice.node_first, np.int32), (lattice.arc_up_to, np.float64), (lattice.arc_next, np.int32)))
     length = np.zeros(len(node), np.int64)
     steps, alive, depth = [], np.arange(len(node)), 0
     while len(alive) > FEW:
         u = _uniform(seed[alive], sample, at[alive], depth)
-        arc = first[node]
+        arc = first[node].astype(np.int64)
         more = np.flatnonzero(u > up_to[arc])
         while len(more):
             arc[more] += 1
@@ -411,7 +415,7 @@ class _Branch:
 def sample_texts(lattice: Lattice, texts: list[str], seeds: np.ndarray, k: int = SAMPLES) -> list[tuple[list[_Walk], float]]:
     """For each text its k samples (fewer if there are not as many) and kappa."""
     starts = lattice.starts([lattice.units(t) for t in texts])
-    arc_p, nxt, first = (np.frombuffer(x, t) for x, t in ((lattice.arc_p, np.float64), (lattice.arc_next, np.int32), (lattice.node_first, np.int64)))
+    arc_p, nxt, first = (np.frombuffer(x, t) for x, t in ((lattice.arc_p, np.float64), (lattice.arc_next, np.int32), (lattice.node_first, np.int32)))
     n_arcs = len(arc_p)
     walks: list[list[_Walk]] = [[] for _ in texts]
     root = _truncated(np.zeros(len(texts)), np.full(len(texts), np.inf), _uniform(seeds, 999, np.zeros(len(texts), np.int64), 0))
@@ -456,11 +460,10 @@ def sample_texts(lattice: Lattice, texts: list[str], seeds: np.ndarray, k: int =
             if value == -np.inf:
                 continue
             step = int(w.left.argmax())
-            a = first[int(np.searchsorted(first, w.arcs[step], side="right")) - 1]
-            b = int(np.searchsorted(first, a, side="right"))
-            b = first[b] if b < len(first) else n_arcs
+            b = int(np.searchsorted(first, first.dtype.type(w.arcs[step]), side="right"))  # (another type would copy them all)
+            a, b = int(first[b - 1]), int(first[b]) if b < len(first) else n_arcs
             closed = w.closed.setdefault(step, [int(w.arcs[step])])
-            others = np.setdiff1d(np.arange(a, b), closed)
+            others = np.array([x for x in range(a, b) if x not in closed], np.int64)
             p = np.cumsum(arc_p[others])
             u = _uniform(seeds[d:d + 1], 2_000 + sample, np.array([step]), len(closed))[0]
             arc = int(others[min(int(np.searchsorted(p, u * p[-1])), len(others) - 1)])
@@ -497,7 +500,7 @@ def segmentations(docs: DataFrame, model_file: str, k: int = SAMPLES, temperatur
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice.load(model_file, temperature)
-        for b in batches:
+        for b in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             ids_of, texts = b.column(0).to_pylist(), [t or "" for t in b.column(1).to_pylist()]
             seeds = seed_of(pd.Series(ids_of, dtype="Int64"))
             for part in words.slices(texts, CHARACTERS):

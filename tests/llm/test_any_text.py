@@ -1,6 +1,7 @@
 """Very long and odd texts, and rules that a text cannot get round."""
 import random
 import time
+import tracemalloc
 
 import pandas as pd
 import public_tokenizers as P
@@ -133,3 +134,26 @@ MENU = '<ul class="menu"><li><a href="/">Home</a></li><li><a href="/a">About</a>
 ])
 def test_pages_in_a_form_in_chinese_and_of_short_blocks(page, want):
     assert html_text.main_text(page) == want
+
+
+def test_a_store_of_words_stays_small():
+    """What the words kept in a worker take when the store is full, from what one takes (ASCII words, many of them rare)."""
+    lattice = piece_sampling.Lattice(P.path("piece_bpe_32k.model"))
+    rng = random.Random(14)
+    texts = [" ".join("".join(rng.choice("aeinorst") for _ in range(rng.randint(5, 11))) for _ in range(2_000)) for _ in range(20)]
+    lattice.starts([lattice.units("warm up")])
+    tracemalloc.start()
+    lattice.starts([lattice.units(t) for t in texts])
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert all(w.isascii() for w in lattice.words)
+    assert kept / len(lattice.arc_p) * piece_sampling.ARCS < 400e6
+
+
+def test_rows_of_large_batches_are_sampled_as_alone(spark, monkeypatch):
+    rows = [(i, f"text {i} of many words" if i % 3 else None) for i in range(50)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    path = P.path("piece_bpe_32k.model")
+    whole = piece_sampling.segmentations(table, path).toPandas()
+    monkeypatch.setattr(piece_sampling, "ROWS", 7)
+    assert piece_sampling.segmentations(table, path).toPandas().equals(whole) and len(whole) == 66
