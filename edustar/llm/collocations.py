@@ -14,9 +14,10 @@ by ranges of the hash; after a step, one task for each range adds up what the op
 reach the threshold enter a table of ``SLOTS`` bytes: the top bits of the hash lead to the step of the first entry. It
 is all that the tasks of the next step need to tell which phrases are active. Hashes that collide can only make a
 phrase active early or needlessly, and each phrase has one step at which it becomes active, so it is counted in every
-shard once. A last scan names the phrases that reached the threshold by the table and adds them up by the phrase itself,
-so counts are exact and no hash decides one (within a block of text phrases are told apart by 64 bits). The table does
-not grow with the input, only its use as a filter falls; ranges grow with the input.
+shard once. A last scan names the phrases that reached the threshold by tables of bits, FINE_BITS more of the hash to a
+place (so few others pass), and adds them up by the phrase itself, so counts are exact and no hash decides one (within a
+block of text phrases are told apart by 64 bits). The tables do not grow with the input, only their use as filters
+falls; ranges grow with the input. A step's shuffle files go when its sums are known.
 
 Defined cases: a null text counts as empty; a text without words changes nothing; a null lang is the lang "und"; very
 long texts are counted whole (in blocks that end where a piece does); repeated rows count as often as they occur; ties
@@ -42,6 +43,8 @@ THRESHOLD, LENGTHS = 10, 3
 SHARDS = 3
 #: The table of phrases that reached the threshold has 2^SLOT_BITS bytes.
 SLOT_BITS = 22
+#: The last scan's tables have a bit for each slot of this many more bits of the hash: no more bytes than the steps' table.
+FINE_BITS = 3
 #: Words of the input for each range of hashes, which one task adds up; a hash keeps REST_BITS below its range.
 RANGE_WORDS, REST_BITS = 4 << 20, 40
 #: Bytes of text that are counted at once in a task.
@@ -139,6 +142,18 @@ def _steps(slots: np.ndarray, key: np.ndarray) -> np.ndarray:
     return slots[(key >> np.uint64(65 - len(slots).bit_length())).astype(np.int64)]
 
 
+def _mark(table: np.ndarray, places: np.ndarray) -> None:
+    """Set the bits of a table of bits."""
+    for b in range(8):
+        table[places[places & 7 == b] >> 3] |= np.uint8(1 << b)
+
+
+def _marked(table: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Whether each hash's bit (its top bits; the table's length is a power of two) is set."""
+    place = (key >> np.uint64(62 - len(table).bit_length())).astype(np.int64)
+    return table[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+
+
 def _blocks_of(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[str, np.ndarray]]:
     for b in batches:
         langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -226,17 +241,24 @@ def _reached(counts: DataFrame, bits: int, cap: int, slot_bits: int) -> np.ndarr
             yield slots()
     n = max(1, min(1 << bits, 4 * shuffle_partitions(counts)))
     rows = counts.select("part", "rest", "counts").repartition(n, "part").sortWithinPartitions("part")
-    return np.frombuffer(b"".join(bytes(r["slots"]) for r in rows.mapInArrow(run, "slots binary").collect()), np.int32)
+    conf, free = counts.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(free)
+    conf.set(free, "true")  # nothing reads this shuffle again, and each step has one
+    try:
+        found = rows.mapInArrow(run, "slots binary").collect()
+    finally:
+        conf.set(free, before)
+    return np.frombuffer(b"".join(bytes(r["slots"]) for r in found), np.int32)
 
 
 def _named(table: DataFrame, slots, block: int) -> DataFrame:
-    """All phrases that the slots may hold, with their counts by the phrase itself."""
+    """All phrases whose bits are set, with their counts by the phrase itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = slots.value
         for lang, buf in _blocks_of(batches, block):
             before = None
             for k, (key, whole, starts, ends) in enumerate(_phrases(lang, buf), start=1):
-                active = whole & (_steps(tables[k == LENGTHS], key) > 0)
+                active = whole & _marked(tables[k == LENGTHS], key)
                 if before is not None:
                     active &= before[:-1] & before[1:]
                 before = active
@@ -265,6 +287,8 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = S
     bits = max(4, min(16, (words // RANGE_WORDS).bit_length()))
     steps: list[DataFrame] = []
     marks, sent = np.zeros(1 << slot_bits, np.uint8), None
+    finer = min(FINE_BITS, 31 - slot_bits)
+    shorter_bits, longest_bits = (np.zeros(1 << (slot_bits + finer - 3), np.uint8) for _ in range(2))
     step = last = 0
     while step < max(n_shards, last + n_shards):
         step += 1
@@ -273,16 +297,17 @@ def phrase_counts(docs: DataFrame, threshold: int = THRESHOLD, n_shards: int = S
         if step > (LENGTHS - 1) * n_shards:  # only the longest phrases can still be active
             continue
         shorter = reduce(DataFrame.unionByName, steps[-n_shards:]).where((F.col("k") < LENGTHS) & (F.col("since") >= step - n_shards))
-        slots = _reached(shorter, bits, threshold, slot_bits)
+        fine = _reached(shorter, bits, threshold, slot_bits + finer)
+        _mark(shorter_bits, fine)
+        slots = fine >> finer
         new = slots[marks[slots] == 0]
         if len(new):
             marks[new], last = step, step
             if sent is not None:
                 sent.unpersist()
             sent = broadcast(marks.copy())
-    longest = np.zeros_like(marks)
-    longest[_reached(reduce(DataFrame.unionByName, steps).where(F.col("k") == LENGTHS), bits, threshold, slot_bits)] = 1
-    named = _named(table.coalesce(-(-words // TASK_WORDS) or 1), broadcast((marks, longest)), block)
+    _mark(longest_bits, _reached(reduce(DataFrame.unionByName, steps).where(F.col("k") == LENGTHS), bits, threshold, slot_bits + finer))
+    named = _named(table.coalesce(-(-words // TASK_WORDS) or 1), broadcast((shorter_bits, longest_bits)), block)
     return named.where(F.col("f") >= threshold), n_words
 
 
@@ -299,9 +324,17 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_
     phrases = counted.where("k > 1").select("lang", "k", "phrase", F.col("f").alias("a"))
     parts = counted.select("lang", F.col("phrase").alias("part"), "f")
 
+    inner = [F.struct(_subphrase(n, i, m).alias("phrase"), F.lit(n).alias("of"))
+             for n in range(3, LENGTHS + 1) for m in range(2, n) for i in range(n - m + 1)]
+    covers = (phrases.select("lang", "a", F.explode(F.filter(F.array(*inner), lambda c: c["of"] == F.col("k"))["phrase"]).alias("phrase"))
+              .groupBy("lang", "phrase").agg(F.max("a").alias("longer")))
+    # only shorter phrases can lie in a longer one; those that do leave before their parts are looked up
+    left = phrases.where(F.col("k") < LENGTHS).join(covers, ["lang", "phrase"], "left").where(F.expr(f"longer is null or 100 * cast(longer as decimal(20,0)) < {COVERED} * cast(a as decimal(20,0))")).drop("longer")
+    left = left.unionByName(phrases.where(F.col("k") == LENGTHS))
+
     cuts = [F.struct(F.lit(k).alias("cut"), F.lit(side).alias("side"), _cut_after(n, k)[side].alias("part"), F.lit(n).alias("of"))
             for n in range(2, LENGTHS + 1) for k in range(1, n) for side in (0, 1)]
-    halves = phrases.select("lang", "k", "phrase", "a", F.explode(F.filter(F.array(*cuts), lambda c: c["of"] == F.col("k"))).alias("c"))
+    halves = left.select("lang", "k", "phrase", "a", F.explode(F.filter(F.array(*cuts), lambda c: c["of"] == F.col("k"))).alias("c"))
     # both sides are plain shuffles of written rows, so the adaptive skew join splits a word of very many phrases
     halves = halves.select("lang", "phrase", "a", "c.cut", "c.side", "c.part").join(parts, ["lang", "part"])
     of = lambda cut, side: F.max(F.when((F.col("cut") == cut) & (F.col("side") == side), F.col("f")))
@@ -313,14 +346,8 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, top: int = TOP, n_
               for k in range(1, LENGTHS)]
     best = both.withColumn("c", F.least(*scored)).select("lang", "phrase", "a", "c.l", "c.r", "c.score")
 
-    inner = [F.struct(_subphrase(n, i, m).alias("phrase"), F.lit(n).alias("of"))
-             for n in range(3, LENGTHS + 1) for m in range(2, n) for i in range(n - m + 1)]
-    covers = (phrases.select("lang", "a", F.explode(F.filter(F.array(*inner), lambda c: c["of"] == F.col("k"))["phrase"]).alias("phrase"))
-              .groupBy("lang", "phrase").agg(F.max("a").alias("longer")))
-    left = best.join(covers, ["lang", "phrase"], "left").where(F.expr(f"longer is null or 100 * cast(longer as decimal(20,0)) < {COVERED} * cast(a as decimal(20,0))"))
-
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salted = left.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    salted = best.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
     some = salted.withColumn("place", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).where(F.col("place") <= top)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(n_words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

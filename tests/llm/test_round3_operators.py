@@ -263,3 +263,30 @@ def test_negative_edges(spark):
     padded = [(i, x if x is None else x + [0.0] * (2 - len(x)), label) for i, x, label in rows]
     assert sorted(map(tuple, hard_negatives.hard_negatives(table).select(COLUMNS).collect())) == brute_negatives(padded)
     assert hard_negatives.hard_negatives(table.limit(0)).collect() == []
+
+
+def test_the_last_scan_names_few_phrases_below_the_threshold(spark, monkeypatch):
+    named, scan = [], collocations._named
+    monkeypatch.setattr(collocations, "_named", lambda *a: named.append(scan(*a)) or named[-1])
+    words = [f"common{i}" for i in range(40)] * 12 + [f"rare{i}" for i in range(2_000)]
+    random.Random(15).shuffle(words)
+    docs = spark.createDataFrame([(". ".join(words[i::50]), "en") for i in range(50)], "text string, lang string")
+    counted, _ = collocations.phrase_counts(docs, slot_bits=8)
+    assert {(r["phrase"], r["f"]) for r in counted.collect()} == {(f"common{i}", 12) for i in range(40)}
+    assert named[0].count() < 160  # of 2,000 rare words a 256th part each slot that holds a common one would let pass
+
+
+def test_bits_of_hashes():
+    table = np.zeros(1 << 5, np.uint8)
+    key = np.random.default_rng(16).integers(0, 1 << 64, 300, np.uint64)
+    collocations._mark(table, (key[:100] >> np.uint64(56)).astype(np.int32))
+    want = np.isin(key >> np.uint64(56), key[:100] >> np.uint64(56))
+    assert (collocations._marked(table, key) == want).all() and want[:100].all() and not want.all()
+
+
+def test_the_setting_for_shuffle_files_is_put_back(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([("a b c. a b c", "en")], "text string, lang string")
+    collocations.phrase_counts(docs, threshold=2)
+    assert spark.conf.get(name) == before
